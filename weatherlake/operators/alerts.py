@@ -7,7 +7,7 @@ batch and streaming frames.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -31,15 +31,36 @@ def is_hit(rule: Rule, value: Column) -> Column:
     return value > rule.threshold if rule.direction == "above" else value < rule.threshold
 
 
-def alert_struct(rule: Rule, value: Column, city: Column, time: Column | None) -> Column:
-    forecast = time is not None
-    texts = {"city": city, "value": number_text(value), "threshold": F.lit(str(rule.threshold)), "time": time}
-    return F.struct(
-        F.lit(f"forecast_{rule.type}" if forecast else rule.type).alias("alert_type"),
-        value.alias("value"),
-        F.lit(rule.threshold).alias("threshold"),
-        fill(rule.forecast_message if forecast else rule.message, **texts).alias("message"),
-    )
+def _hits(rules: Sequence[Rule], metric: Callable[[str], Column], *extra: Column) -> Column:
+    """Array with a struct per rule: the rule's number and the value if it is a hit, else null."""
+    return F.array(*[
+        F.when(
+            is_hit(rule, metric(rule.metric)),
+            F.struct(F.lit(number).alias("rule"), metric(rule.metric).alias("value"), *extra),
+        )
+        for number, rule in enumerate(rules)
+    ])
+
+
+def _by_rule(rules: Sequence[Rule], number: Column, answer: Callable[[Rule], Column]) -> Column:
+    chosen = F
+    for i, rule in enumerate(rules):
+        chosen = chosen.when(number == i, answer(rule))
+    return chosen
+
+
+def _alert_type(rules: Sequence[Rule], number: Column, time: Column | None) -> Column:
+    name = _by_rule(rules, number, lambda rule: F.lit(rule.type))
+    return name if time is None else F.concat(F.when(time.isNull(), "").otherwise("forecast_"), name)
+
+
+def _message(rules: Sequence[Rule], number: Column, time: Column | None, **texts: Column) -> Column:
+    texts["threshold"] = _by_rule(rules, number, lambda rule: F.lit(str(rule.threshold)))
+    current = _by_rule(rules, number, lambda rule: fill(rule.message, **texts))
+    if time is None or any(rule.forecast_message is None for rule in rules):
+        return current
+    forecast = _by_rule(rules, number, lambda rule: fill(rule.forecast_message, time=time, **texts))
+    return F.when(time.isNull(), current).otherwise(forecast)
 
 
 def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -47,25 +68,26 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     alert_type, value, threshold and message.
 
     A reading has a city, any of the metrics, and optionally `forecast_time`: where that is not null
-    the alert is a forecast alert, with its own type and text.
+    the alert is a forecast alert, with its own type and text. The texts are made once per alert,
+    after the readings without one are gone.
     """
     metrics = [m for m in METRICS if m in readings.columns]
     active = [rule for rule in rules if rule.enabled and rule.metric in metrics]
-    city = F.col("city")
-    candidates = []
-    for rule in active:
-        value = F.col(rule.metric)
-        alert = alert_struct(rule, value, city, None)
-        if "forecast_time" in readings.columns and rule.forecast_message is not None:
-            time = F.col("forecast_time")
-            alert = F.when(time.isNull(), alert).otherwise(alert_struct(rule, value, city, time))
-        candidates.append(F.when(is_hit(rule, value), alert))
     any_hit = reduce(lambda a, b: a | b, [is_hit(rule, F.col(rule.metric)) for rule in active])
     kept = [c for c in readings.columns if c not in METRICS]
-    return (
+    hits = (
         readings.where(any_hit)
-        .select(*kept, F.inline(F.array(*candidates)).alias(*ALERT_FIELDS))
-        .where(F.col("alert_type").isNotNull())
+        .select(*kept, F.inline(_hits(active, F.col)).alias("rule", "value"))
+        .where(F.col("rule").isNotNull())
+        .withColumn("value_text", number_text(F.col("value")))
+    )
+    rule, time = F.col("rule"), F.col("forecast_time") if "forecast_time" in kept else None
+    return hits.select(
+        *kept,
+        _alert_type(active, rule, time).alias("alert_type"),
+        "value",
+        _by_rule(active, rule, lambda r: F.lit(r.threshold)).alias("threshold"),
+        _message(active, rule, time, city=F.col("city"), value=F.col("value_text")).alias("message"),
     )
 
 
@@ -111,22 +133,23 @@ def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     The array is built inside the payload's row, so no group is ever collected.
     """
     active = [rule for rule in rules if rule.enabled]
-    city = city_or_unknown(F.col("city"))
-
-    def hits(value: dict[str, Column], time: Column | None) -> Column:
-        stamp = (F.lit(None).cast("string") if time is None else time).alias("forecast_time")
-        return F.array(*[
-            F.when(is_hit(rule, value[rule.metric]),
-                   F.struct(*[alert_struct(rule, value[rule.metric], city, time)[f].alias(f) for f in ALERT_FIELDS], stamp))
-            for rule in active
-        ])
-
-    current = hits({m: F.col(f"current.{m}") for m in METRICS}, None)
-    hourly = F.flatten(F.transform(
-        _hourly(), lambda element: hits({m: element[m] for m in METRICS}, element["time"])
-    ))
-    alerts = F.array_compact(F.when(_has_hourly(), F.concat(current, hourly)).otherwise(current))
-    return payloads.select(city.alias("city"), "timestamp", alerts.alias("alerts")).where(F.size("alerts") > 0)
+    current = _hits(active, lambda m: F.col(f"current.{m}"), F.lit(None).cast("string").alias("time"))
+    hourly = F.flatten(F.transform(_hourly(), lambda e: _hits(active, lambda m: e[m], e["time"].alias("time"))))
+    hits = F.array_compact(F.when(_has_hourly(), F.concat(current, hourly)).otherwise(current))
+
+    def alert(hit: Column) -> Column:
+        rule, time = hit["rule"], hit["time"]
+        message = _message(active, rule, time, city=F.col("city"), value=number_text(hit["value"]))
+        return F.struct(
+            _alert_type(active, rule, time).alias("alert_type"),
+            hit["value"].alias("value"),
+            _by_rule(active, rule, lambda r: F.lit(r.threshold)).alias("threshold"),
+            message.alias("message"),
+            time.alias("forecast_time"),
+        )
+
+    found = payloads.select(city_or_unknown(F.col("city")).alias("city"), "timestamp", hits.alias("hits"))
+    return found.where(F.size("hits") > 0).select("city", "timestamp", F.transform("hits", alert).alias("alerts"))
 
 
 def high_priority(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Python call sites in error messages; noting them costs more than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
