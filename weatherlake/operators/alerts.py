@@ -43,10 +43,12 @@ def _hits(rules: Sequence[Rule], metric: Callable[[str], Column], *extra: Column
 
 
 def _by_rule(rules: Sequence[Rule], number: Column, answer: Callable[[Rule], Column]) -> Column:
+    """The answer of the rule with that number."""
+    *others, last = enumerate(rules)
     chosen = F
-    for i, rule in enumerate(rules):
+    for i, rule in others:
         chosen = chosen.when(number == i, answer(rule))
-    return chosen
+    return chosen.otherwise(answer(last[1])) if others else answer(last[1])
 
 
 def _alert_type(rules: Sequence[Rule], number: Column, time: Column | None) -> Column:
@@ -55,8 +57,10 @@ def _alert_type(rules: Sequence[Rule], number: Column, time: Column | None) -> C
 
 
 def _message(rules: Sequence[Rule], number: Column, time: Column | None, **texts: Column) -> Column:
-    texts["threshold"] = _by_rule(rules, number, lambda rule: F.lit(str(rule.threshold)))
-    current = _by_rule(rules, number, lambda rule: fill(rule.message, **texts))
+    def text(rule: Rule) -> Column:
+        return fill(rule.message, threshold=F.lit(str(rule.threshold)), **texts)
+
+    current = _by_rule(rules, number, text)
     if time is None or any(rule.forecast_message is None for rule in rules):
         return current
     forecast = _by_rule(rules, number, lambda rule: fill(rule.forecast_message, time=time, **texts))
@@ -148,7 +152,11 @@ def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             time.alias("forecast_time"),
         )
 
-    found = payloads.select(city_or_unknown(F.col("city")).alias("city"), "timestamp", hits.alias("hits"))
+    # Exploding an array of one array keeps the optimizer from working the hits out twice, for the
+    # filter and again for the texts.
+    found = payloads.select(
+        city_or_unknown(F.col("city")).alias("city"), "timestamp", F.explode(F.array(hits)).alias("hits")
+    )
     return found.where(F.size("hits") > 0).select("city", "timestamp", F.transform("hits", alert).alias("alerts"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherlake import schemas
+from weatherlake.session import literal_frame
 
 # The two lists of cities with their coordinates.
 WORLD_CITIES = [
@@ -28,7 +29,7 @@ MONITORED_CITIES = [
 
 
 def city_frame(spark: SparkSession, cities: Iterable[tuple[str, float, float]]) -> DataFrame:
-    return spark.createDataFrame(list(cities), schemas.CITY)
+    return literal_frame(spark, list(cities), schemas.CITY)
 
 
 def city_lookup(df: DataFrame, cities: DataFrame, how: str = "inner") -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weatherlake.session import literal_frame
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -67,4 +69,4 @@ RULE_SCHEMA = (
 def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """The rules as a table, to be kept beside the alerts they made."""
     rows = [(r.profile, r.type, r.metric, r.direction, r.threshold, r.priority_threshold, r.enabled) for r in rules]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return literal_frame(spark, rows, RULE_SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherlake.functions.sky import sector_index, sector_name, speed_bin
@@ -11,10 +11,10 @@ from weatherlake.functions.sky import sector_index, sector_name, speed_bin
 def wind_rose(df: DataFrame, k: int = 4, speed: str = "windspeed", direction: str = "winddirection") -> DataFrame:
     """Share of the observations by direction sector and speed class, for the k cities with the most wind.
 
-    The rows are counted once, down to at most 17 x 7 rows per city; ranking the cities and the
-    share of the total work on those counts.
+    The rows are read once and counted down to at most 17 x 7 cells per city. A city's cells travel
+    with its mean speed through the top k, so the rows are not read again for the chosen cities.
     """
-    counts = (
+    cells = (
         df.where(F.col("city").isNotNull())
         .groupBy("city", sector_index(F.col(direction)).alias("sector_no"), speed_bin(F.col(speed)).alias("speed_from"))
         .agg(
@@ -23,18 +23,19 @@ def wind_rose(df: DataFrame, k: int = 4, speed: str = "windspeed", direction: st
             F.count(speed).alias("speed_count"),
         )
     )
-    mean_speed = F.try_divide(F.sum("speed_sum"), F.sum("speed_count"))
-    top = counts.groupBy("city").agg(mean_speed.alias("mean_speed")).orderBy(F.desc("mean_speed"), "city").limit(k)
-    rose = counts.join(F.broadcast(top.select("city")), "city", "left_semi").where(
-        F.col("sector_no").isNotNull() & F.col("speed_from").isNotNull()
+    measured = F.col("sector_no").isNotNull() & F.col("speed_from").isNotNull()
+    cities = cells.groupBy("city").agg(
+        F.try_divide(F.sum("speed_sum"), F.sum("speed_count")).alias("mean_speed"),
+        F.sum(F.when(measured, F.col("n"))).alias("total"),
+        F.collect_list(F.when(measured, F.struct("sector_no", "speed_from", "n"))).alias("cells"),
     )
-    total = F.sum("n").over(Window.partitionBy("city"))
-    return rose.select(
+    top = cities.orderBy(F.desc("mean_speed"), "city").limit(k)
+    return top.select("city", "total", F.inline("cells")).select(
         "city",
         sector_name(F.col("sector_no")).alias("sector"),
         F.col("speed_from").cast("long").alias("speed_from"),
         "n",
-        (F.col("n") / total).alias("share"),
+        (F.col("n") / F.col("total")).alias("share"),
     )
 
 

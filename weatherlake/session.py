@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings that the results or the plans rely on. Sizes are left to the cluster:
 # partition counts are chosen by AQE from a high initial number, so the same code
@@ -32,6 +36,17 @@ def get_session(app_name: str = "weatherlake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A short list of rows as a frame of known size, which Spark can broadcast; `schema` is DDL.
+
+    A frame made of Python rows has no size for the planner, and a join with it would shuffle both sides.
+    """
+    struct = T.StructType.fromDDL(schema)
+    names = struct.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows], schema=to_arrow_schema(struct))
+    return spark.createDataFrame(table, struct)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before, in the shared folder named by spark.checkpoint.dir.
 

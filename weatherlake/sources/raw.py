@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from weatherlake import schemas
 from weatherlake.functions.calendar import as_date, compact, days_back
 from weatherlake.operators.filters import in_days
+from weatherlake.session import literal_frame
 
 _RAW_WITH_CORRUPT = f"{schemas.RAW}, {schemas.CORRUPT} STRING"
 # Name pattern of the dropped files.
@@ -29,7 +30,7 @@ def or_empty(read, spark: SparkSession, schema: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return literal_frame(spark, [], schema)
 
 
 def read_raw(spark: SparkSession, path: str, day: str | date) -> DataFrame:
