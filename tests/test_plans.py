@@ -1,0 +1,103 @@
+"""What the plans must and must not contain."""
+
+import re
+
+import oracle
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from weatherlake.operators import alerts, lookup, reshape, wind
+from weatherlake.operators.rules import MONITORED
+from weatherlake.plans import bindings
+from weatherlake.sources import daily, tables
+
+SF_DIR = str(oracle.TESTDATA / "sf0.001")
+WRITERS = {"raw_scan", "raw_range_scan", "corrupt_split", "month_scan", "parquet_roundtrip", "csv_roundtrip",
+           "json_roundtrip", "alerts_table", "stream_current", "stream_alerts", "stream_throughput"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Payloads as a table, so that plans show the operators and not how the payloads are made."""
+    path = str(tmp_path_factory.mktemp("payloads") / "p")
+    bindings.payloads(spark, SF_DIR).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITERS))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(driver.queries()[name](spark, SF_DIR))
+    for node in ("Python", "ArrowEval", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition, REPARTITION"):
+        assert node not in text
+
+
+@pytest.mark.parametrize("build", [
+    lambda p: reshape.current_flat(p), lambda p: reshape.hourly_wind(p), lambda p: reshape.snapshot_stats(p),
+    lambda p: reshape.unified_current(p), lambda p: alerts.alert_bundle(reshape.unify(p), MONITORED),
+    lambda p: alerts.detect(alerts.all_readings(reshape.unify(p)), MONITORED),
+])
+def test_row_operators_do_not_shuffle(stored, build):
+    assert "Exchange" not in plan(build(stored))
+
+
+def test_only_the_used_nested_fields_are_read(stored):
+    schema = re.search(r"ReadSchema: (\S+)", plan(reshape.hourly_temperature(stored))).group(1)
+    assert "temperature_2m" in schema and "precipitation" not in schema and "current_weather" not in schema
+
+
+def test_day_filter_reaches_the_scan(spark):
+    text = plan(driver.queries()["last_n_days"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
+
+
+def test_alert_thresholds_reach_the_scan_of_stored_observations(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    bindings.obs(spark, SF_DIR).withColumn("timestamp", F.col("ts")).write.parquet(path)
+    rows = spark.read.parquet(path).select("city", "timestamp", "temperature", "precipitation", "windspeed")
+    assert "GreaterThan(temperature,35.0)" in plan(alerts.detect(rows, MONITORED))
+
+
+def test_month_is_a_partition_filter(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    daily.write_daily(bindings.obs(spark, SF_DIR).select("city", "temperature", "obs_date"), path)
+    df = daily.read_daily(spark, path, "2024-01", schema="city STRING, temperature DOUBLE, obs_date DATE")
+    assert re.search(r"PartitionFilters: \[[^\]]*obs_date", plan(df))
+
+
+def test_alert_day_is_a_partition_filter(spark, tmp_path):
+    found = driver.queries()["alerts_current"](spark, SF_DIR)
+    tables.append_alerts(found, str(tmp_path / "alerts"))
+    assert re.search(r"PartitionFilters: \[[^\]]*alert_date", plan(tables.read_alerts(spark, str(tmp_path / "alerts"), "2024-01-03")))
+
+
+def test_city_list_is_broadcast_by_its_size(spark):
+    cities = lookup.city_frame(spark, lookup.WORLD_CITIES)
+    text = plan(lookup.city_lookup(bindings.obs(spark, SF_DIR), cities))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        text = plan(lookup.city_lookup(bindings.obs(spark, SF_DIR), lookup.city_frame(spark, lookup.WORLD_CITIES)))
+        assert "SortMergeJoin" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_top_k_does_not_sort_everything(spark):
+    assert "TakeOrderedAndProject" in plan(driver.queries()["top_wind_cities"](spark, SF_DIR))
+
+
+def test_wind_rose_reads_the_rows_once(spark):
+    assert plan(wind.wind_rose(bindings.obs(spark, SF_DIR))).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["city_stats", "alert_counts", "wind_rose", "stats_by_region", "temperature_trend"])
+def test_rows_are_combined_before_the_first_shuffle(spark, name):
+    text = plan(driver.queries()[name](spark, SF_DIR))
+    scans = [line for line in text.splitlines()]
+    deepest = max(i for i, line in enumerate(scans) if "Exchange hashpartitioning" in line)
+    assert "partial_" in scans[deepest + 1]

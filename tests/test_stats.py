@@ -1,0 +1,233 @@
+"""Aggregations, filters, lookups, wind and reports on hand-made rows."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from weatherlake import schemas
+from weatherlake.functions import calendar, numbers, sky, text
+from weatherlake.operators import filters, lookup, reshape, stats, wind
+from weatherlake.sources import daily, reports, tables
+
+
+def values(df, column):
+    return [r[0] for r in df.select(column).collect()]
+
+
+def test_monthly_average_counts_every_day_the_same(spark):
+    rows = [("Paris", t, 1.0, date(2025, 9, d)) for t, d in [(10.0, 1), (20.0, 1), (30.0, 1), (40.0, 2)]]
+    current = spark.createDataFrame(rows, "city STRING, temperature DOUBLE, windspeed DOUBLE, obs_date DATE")
+    monthly = stats.monthly_city_stats(stats.city_stats(current, "obs_date")).collect()[0]
+    assert monthly.monthly_avg_temperature == 30.0  # mean of 20 and 40, not 25
+
+
+SNAPSHOTS = schemas.SNAPSHOT_STATS
+
+
+def snapshot(city, day, temp, rain):
+    return (city, day, temp, temp, temp, 50.0, rain, 5.0)
+
+
+def test_report_leaves_out_null_city_sums_nulls_to_zero_and_rounds_half_even(spark):
+    rows = [snapshot("Paris", date(2025, 9, 1), 0.125, None), snapshot("Paris", date(2025, 9, 30), 0.125, None),
+            snapshot(None, date(2025, 9, 1), 1.0, 1.0), snapshot("Paris", date(2025, 10, 1), 99.0, 9.0)]
+    report = stats.monthly_report(spark.createDataFrame(rows, SNAPSHOTS), "2025-09").collect()
+    assert [(r.city, r.avg_temp, r.precipitation) for r in report] == [("Paris", 0.12, 0.0)]
+
+
+def test_report_sums_overlapping_snapshots(spark):
+    rows = [snapshot("Paris", date(2025, 9, 1), 10.0, 2.0)] * 2
+    assert values(stats.monthly_report(spark.createDataFrame(rows, SNAPSHOTS)), "precipitation") == [4.0]
+
+
+def test_report_text(spark, tmp_path):
+    rows = [snapshot("Tokyo", date(2025, 9, 1), 19.25, 0.5), snapshot("Paris", date(2025, 9, 1), 10.0, None)]
+    report = stats.monthly_report(spark.createDataFrame(rows, SNAPSHOTS).withColumn(
+        "avg_windspeed", F.when(F.col("city") == "Paris", F.col("avg_windspeed"))))
+    daily.write_text(reports.monthly_text_lines(report, "2025-09"), str(tmp_path / "report"), "block")
+    written = "".join(p.read_text("utf-8") for p in sorted((tmp_path / "report").glob("part-*")))
+    assert written.startswith("RAPPORT MÉTÉOROLOGIQUE MENSUEL - 202509\n" + "=" * 50 + "\n\nVille: Paris\n")
+    assert "Ville: Tokyo\n  Température moyenne: 19.25°C\n  Température min/max: 19.25°C / 19.25°C\n" in written
+    assert "  Vitesse moyenne du vent: nan km/h\n" in written
+
+
+def test_notification_and_its_empty_form(spark):
+    now = F.lit("2025-09-24 09:05:00").cast("timestamp_ntz")
+    temperatures = spark.createDataFrame([(10.0,), (20.5,)], "temperature DOUBLE")
+    message = reports.notification_text(stats.temperature_summary(temperatures), now).collect()[0][0]
+    assert message == (
+        "Rapport météo du 24/09/2025 09:05 :\nTempérature moyenne : 15.2°C\n"
+        "Température minimale : 10.0°C\nTempérature maximale : 20.5°C"
+    )
+    empty = reports.notification_text(stats.temperature_summary(temperatures.limit(0)), now)
+    assert empty.collect()[0][0] == "Aucune donnée météo disponible"
+
+
+def test_ranking_leaves_out_null_city_and_breaks_ties_by_name(spark):
+    df = spark.createDataFrame([("B", 1.0), ("A", 1.0), ("C", 9.0), (None, 99.0)], "city STRING, temperature DOUBLE")
+    assert values(stats.temperature_by_city(df), "city") == ["C", "A", "B"]
+    assert values(lookup.top_cities(df, F.avg("temperature"), 2), "city") == ["C", "A"]
+
+
+def test_sum_of_nulls_is_zero(spark):
+    df = spark.createDataFrame([("A", None)], "city STRING, precipitation DOUBLE")
+    assert stats.precipitation_by_city(df).collect() == [("A", 0.0)]
+
+
+def test_number_texts(spark):
+    numbers_in = [35.0, -0.5, 0.00015, 12345678.0, 0.001, None]
+    df = spark.createDataFrame([(n,) for n in numbers_in], "x DOUBLE")
+    assert values(df, numbers.number_text(F.col("x"))) == ["35.0", "-0.5", "0.00015", "12345678.0", "0.001", None]
+    assert values(df.limit(1), text.fill("{a} of {b}", a=F.lit("x"), b=F.col("x").cast("string"))) == ["x of 35.0"]
+
+
+@pytest.mark.parametrize("degrees, sector", [(0, "N"), (11.24, "N"), (11.25, "NNE"), (348.75, "N"), (360, "N"),
+                                             (90, "E"), (-90, "W"), (337.5, "NNW")])
+def test_sectors(spark, degrees, sector):
+    column = sky.sector_name(sky.sector_index(F.lit(float(degrees))))
+    assert spark.range(1).select(column).collect()[0][0] == sector
+
+
+def test_seasons_and_conditions(spark):
+    months = spark.sql("SELECT make_date(2025, id, 15) AS d FROM range(1, 13) AS t(id)").orderBy("d")
+    assert values(months, calendar.season(F.col("d"))) == (
+        ["winter"] * 2 + ["spring"] * 3 + ["summer"] * 3 + ["autumn"] * 3 + ["winter"])
+    codes = spark.createDataFrame([(0,), (3,), (48,), (55,), (81,), (86,), (99,), (None,)], "c INT")
+    assert values(codes, sky.condition(F.col("c"))) == [
+        "clear", "cloudy", "fog", "drizzle", "rain", "snow", "thunderstorm", "unknown"]
+
+
+def wind_rows(spark):
+    rows = [("A", 5.0, 0.0), ("A", 15.0, 0.0), ("A", None, 0.0), ("A", 90.0, None), ("A", 10.0, 90.0),
+            ("B", 1.0, 10.0), ("B", 1.0, 200.0)]
+    return spark.createDataFrame(rows, "city STRING, windspeed DOUBLE, winddirection DOUBLE")
+
+
+def test_wind_rose_shares_add_up_to_one(spark):
+    rose = wind.wind_rose(wind_rows(spark), k=1).collect()
+    assert {(r.city, r.sector, r.speed_from): r.n for r in rose} == {("A", "N", 0): 1, ("A", "N", 10): 1, ("A", "E", 10): 1}
+    assert abs(sum(r.share for r in rose) - 1) < 1e-12
+
+
+def test_dominant_wind_takes_the_first_of_equal_sectors(spark):
+    best = {r.city: (r.sector, r.n) for r in wind.dominant_wind(wind_rows(spark)).collect()}
+    assert best == {"A": ("N", 3), "B": ("N", 1)}
+
+
+def timed(spark):
+    stamps = [datetime(2025, 9, 16, 23, 59), datetime(2025, 9, 17), datetime(2025, 9, 24, 23, 59), datetime(2025, 9, 25)]
+    return spark.createDataFrame([("Paris", s, s.date()) for s in stamps], "city STRING, ts TIMESTAMP_NTZ, obs_date DATE")
+
+
+@pytest.mark.parametrize("column", ["ts", "obs_date"])
+def test_day_ranges_include_both_ends(spark, column):
+    df = timed(spark)
+    assert [r.ts.day for r in filters.last_n_days(df, column, "2025-09-24", 7).collect()] == [17, 24]
+    assert [r.ts.day for r in filters.retain(df, column, "2025-09-24", 7).collect()] == [17, 24, 25]
+    assert filters.in_month(df, column, "202509").count() == 4
+    assert filters.in_month(df, column, "2025-10").count() == 0
+
+
+def test_recent(spark):
+    df = timed(spark)
+    assert [r.ts.day for r in filters.recent(df, "ts", 24, ["Paris"]).collect()] == [24, 25]
+    assert filters.recent(df, "ts", 24, ["Paris"], as_of="2025-09-17 12:00:00").count() == 2
+    assert filters.recent(df, "ts", 24, ["Rome"]).count() == 0
+
+
+def test_filters_compose_and_sort_checks_names(spark):
+    df = spark.createDataFrame(
+        [("A", "X", 5.0, 61, date(2025, 1, 1)), ("B", "X", 15.0, 0, date(2025, 1, 2)), ("C", "Y", 25.0, 61, date(2025, 1, 3))],
+        "city STRING, region STRING, temperature DOUBLE, weathercode INT, obs_date DATE",
+    )
+    spec = filters.FilterSpec(min_temperature=5.0, conditions=["rain"], regions=["X"], end="2025-01-02")
+    assert values(filters.apply_filters(df, spec), "city") == ["A"]
+    assert filters.apply_filters(df, filters.FilterSpec()).count() == 3
+    assert values(filters.sort_by(df, [("region", "desc"), ("temperature", "asc")]), "city") == ["C", "A", "B"]
+    for order in ([("rain", "asc")], [("city", "down")]):
+        with pytest.raises(ValueError):
+            filters.sort_by(df, order)
+
+
+def test_erasure_keeps_rows_without_identifier(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "station BIGINT, x STRING")
+    erased = spark.createDataFrame([(1,), (1,), (None,)], "station BIGINT")
+    assert sorted(values(filters.erase(df, erased, "station"), "x")) == ["b", "c"]
+
+
+def test_city_lookup_and_unmatched(spark):
+    df = spark.createDataFrame([("Paris",), ("Atlantis",)], "city STRING")
+    cities = lookup.city_frame(spark, lookup.MONITORED_CITIES)
+    assert lookup.city_lookup(df, cities).collect() == [("Paris", 48.8566, 2.3522)]
+    assert lookup.city_unmatched(df, cities).collect() == [("Atlantis",)]
+
+
+def test_history_is_the_same_month_of_the_year_before(spark):
+    df = spark.createDataFrame([("A", 2024, 1, 5.0), ("A", 2025, 1, 7.0), ("A", 2025, 2, 1.0)],
+                               "city STRING, year INT, month INT, mean DOUBLE")
+    rows = lookup.historical_comparison(df, "city", "mean").orderBy("year", "month").collect()
+    assert [(r.previous_value, r.change) for r in rows] == [(None, None), (5.0, 2.0), (None, None)]
+
+
+def climate(spark):
+    obs = spark.createDataFrame(
+        [(1, date(2025, 1, 1), 2.0, 1.0, 0), (1, date(2025, 1, 1), 4.0, 1.0, 0), (2, date(2025, 7, 1), 30.0, None, 61),
+         (3, date(2025, 7, 2), None, 2.0, 61)],
+        "station BIGINT, obs_date DATE, temperature DOUBLE, precipitation DOUBLE, weathercode INT",
+    )
+    return obs, spark.createDataFrame([(1, "N"), (2, "S"), (3, "S")], "station BIGINT, region STRING")
+
+
+def test_grouping_sets_equal_the_single_groupings(spark):
+    obs, stations = climate(spark)
+    keys = ["region", "season", "condition"]
+    together = stats.climate_stats_sets(obs, stations, keys).collect()
+    single = [
+        (key, *row) for key in keys for row in stats.climate_stats(obs, stations, key).collect()
+    ]
+    assert sorted(map(tuple, together)) == sorted(single)
+    assert ("region", "S", 30.0, 30.0, 30.0, 2.0, 2) in single
+
+
+def test_pivot_holds_the_daily_means(spark):
+    obs, _ = climate(spark)
+    df = obs.withColumn("city", F.concat(F.lit("S"), "station"))
+    long = {(r.obs_date, r.city): r.avg_temperature for r in stats.daily_temperature(df).collect()}
+    wide = reshape.pivot_by_city(df, ["S1", "S2", "S3"], F.avg("temperature"), "obs_date").collect()
+    assert {k: v for k, v in long.items() if v is not None} == {
+        (r.obs_date, c): r[c] for r in wide for c in ("S1", "S2", "S3") if r[c] is not None}
+
+
+def test_daily_results_replace_their_own_days_only(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    frame = lambda rows: spark.createDataFrame(rows, schemas.DAILY_CITY_STATS)
+    row = lambda t, d: ("Paris", t, t, t, t, t, d)
+    daily.write_daily(frame([row(1.0, date(2025, 9, 1)), row(2.0, date(2025, 10, 1))]), path)
+    daily.write_daily(frame([row(3.0, date(2025, 9, 1))]), path)
+    assert sorted(values(daily.read_daily(spark, path), "avg_temperature")) == [2.0, 3.0]
+    assert values(daily.read_daily(spark, path, "2025-09"), "avg_temperature") == [3.0]
+    assert daily.read_daily(spark, str(tmp_path / "none"), "2025-09").count() == 0
+
+
+def test_table_is_replaced(spark, tmp_path):
+    for n in (3, 2):
+        tables.replace_table(spark.range(n), "replaced_table", str(tmp_path / "replaced"))
+    assert spark.table("replaced_table").count() == 2
+
+
+def test_csv_has_a_header(spark, tmp_path):
+    df = spark.createDataFrame([("Paris", 1.5, None)], "city STRING, a DOUBLE, b DOUBLE")
+    daily.write_csv(df, str(tmp_path / "csv"))
+    assert next((tmp_path / "csv").glob("part-*")).read_text().splitlines() == ["city,a,b", "Paris,1.5,"]
+    assert daily.read_csv(spark, str(tmp_path / "csv"), df.schema).collect() == df.collect()
+
+
+def test_pseudonyms_depend_on_the_salt(spark):
+    row = spark.range(1).select(text.pseudonym(F.col("id"), "a"), text.pseudonym(F.col("id"), "b"), text.pseudonym(F.col("id"), "a"))
+    first, second, again = row.collect()[0]
+    assert first != second and first == again and len(first) == 64
+
+
+def test_preview(spark):
+    assert spark.range(10).limit(5).count() == 5

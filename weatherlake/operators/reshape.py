@@ -71,14 +71,15 @@ def unify(raw: DataFrame) -> DataFrame:
     """Both payload dialects under one set of names.
 
     `current` and `hourly` become structs with temperature, humidity, precipitation and windspeed;
-    a dialect's missing fields are null.
+    a dialect's missing fields are null. Payloads without a timestamp take that of their current weather.
     """
 
     def either(first: str, second: str) -> Column:
         return F.coalesce(F.col(first), F.col(second))
 
     return raw.select(
-        *[c for c in raw.columns if c not in ("current_weather", "current", "hourly")],
+        *[c for c in raw.columns if c not in ("timestamp", "current_weather", "current", "hourly")],
+        F.coalesce("timestamp", "current_weather.time", "current.time").alias("timestamp"),
         F.struct(
             either("current_weather.temperature", "current.temperature_2m").alias("temperature"),
             F.col("current.relative_humidity_2m").alias("humidity"),
