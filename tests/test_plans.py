@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from weatherlake.operators import alerts, lookup, reshape, wind
+from weatherlake.operators import alerts, filters, lookup, reshape, wind
 from weatherlake.operators.rules import MONITORED
 from weatherlake.plans import bindings
 from weatherlake.sources import daily, tables
@@ -101,3 +101,34 @@ def test_rows_are_combined_before_the_first_shuffle(spark, name):
     scans = [line for line in text.splitlines()]
     deepest = max(i for i, line in enumerate(scans) if "Exchange hashpartitioning" in line)
     assert "partial_" in scans[deepest + 1]
+
+
+@pytest.mark.parametrize("join", ["erase", "city_lookup"])
+def test_hot_key_is_split_where_the_other_side_is_too_large_to_broadcast(spark, join):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+        rows = spark.range(0, 60000, 1, 8).select(
+            hot.alias("station"), F.concat(F.lit("c"), hot).alias("city"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        if join == "erase":
+            df = filters.erase(rows, spark.range(100, 5000, 1, 4).select(F.col("id").alias("station")), "station")
+        else:
+            cities = spark.range(0, 5000, 1, 4).select(
+                F.concat(F.lit("c"), "id").alias("city"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+            df = lookup.city_lookup(rows, cities)
+        counted = len(df.collect())
+        assert "skew=true" in plan(df)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    left = [7 if i % 3 == 0 else i for i in range(60000)]
+    expected = [i for i in left if not 100 <= i < 5000] if join == "erase" else [i for i in left if i < 5000]
+    assert counted == len(expected)

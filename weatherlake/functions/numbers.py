@@ -25,5 +25,5 @@ def number_text(value: Column) -> Column:
 
 
 def fixed_text(value: Column, digits: int = 1) -> Column:
-    """Text with a fixed number of decimals, ties rounded to even."""
-    return F.format_string(f"%.{digits}f", round_half_even(value, digits))
+    """Text with a fixed number of decimals, ties rounded to even; null for null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", round_half_even(value, digits)))

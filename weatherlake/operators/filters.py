@@ -8,23 +8,24 @@ from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weatherlake.functions.calendar import as_date, days_back, month_bounds
 from weatherlake.functions.sky import condition
 
 
-def in_days(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
-    """Rows whose date or timestamp column falls on one of the days first..last."""
-    if isinstance(df.schema[column].dataType, T.DateType):
-        return df.where(F.col(column).between(F.lit(first), F.lit(last)))
-    return df.where((F.col(column) >= _midnight(df, column, first))
-                    & (F.col(column) < _midnight(df, column, last + timedelta(days=1))))
+def in_days(df: DataFrame, column: str, first: date | None, last: date | None) -> DataFrame:
+    """Rows whose date or timestamp column falls on one of the days first..last; None leaves an end open."""
+    if first is not None:
+        df = df.where(F.col(column) >= _midnight(df, column, first))
+    if last is not None:
+        df = df.where(F.col(column) < _midnight(df, column, last + timedelta(days=1)))
+    return df
 
 
 def _midnight(df: DataFrame, column: str, day: date) -> Column:
     # A literal of the column's own type: a cast on the column would keep the filter out of the scan.
-    return F.lit(datetime.combine(day, time()).isoformat(sep=" ")).cast(df.schema[column].dataType)
+    text = datetime.combine(day, time()).isoformat(sep=" ")
+    return F.lit(text).cast(df.schema[column].dataType)
 
 
 def last_n_days(df: DataFrame, column: str, end: str | date, days: int = 7) -> DataFrame:
@@ -71,18 +72,17 @@ def recent(
 def retain(df: DataFrame, column: str, as_of: str | date, days: int) -> DataFrame:
     """Drops the rows older than `days` days before `as_of`."""
     first, _ = days_back(as_date(as_of), days)
-    if isinstance(df.schema[column].dataType, T.DateType):
-        return df.where(F.col(column) >= F.lit(first))
-    return df.where(F.col(column) >= _midnight(df, column, first))
+    return in_days(df, column, first, None)
 
 
 def erase(df: DataFrame, erased: DataFrame, key: str) -> DataFrame:
     """Drops the rows of the listed identifiers. Rows without an identifier stay.
 
     The list is not forced into a broadcast: Spark broadcasts it if it is small enough, otherwise it
-    sorts and merges and AQE splits the partition of a hot identifier.
+    sorts and merges and AQE splits the partition of a hot identifier. It is not made distinct first:
+    repeats do no harm to an anti join, and an aggregate on its side would keep AQE from splitting.
     """
-    return df.join(erased.select(key).distinct(), key, "left_anti")
+    return df.join(erased.select(key), key, "left_anti")
 
 
 @dataclass(frozen=True)
@@ -103,10 +103,9 @@ def apply_filters(df: DataFrame, spec: FilterSpec, day: str = "obs_date") -> Dat
         df = df.where(F.col("temperature") >= spec.min_temperature)
     if spec.max_temperature is not None:
         df = df.where(F.col("temperature") <= spec.max_temperature)
-    if spec.start is not None or spec.end is not None:
-        first = as_date(spec.start) if spec.start is not None else date(1, 1, 1)
-        last = as_date(spec.end) if spec.end is not None else date(9999, 12, 30)
-        df = in_days(df, day, first, last)
+    first = None if spec.start is None else as_date(spec.start)
+    last = None if spec.end is None else as_date(spec.end)
+    df = in_days(df, day, first, last)
     if spec.cities is not None:
         df = in_cities(df, spec.cities)
     if spec.regions is not None:

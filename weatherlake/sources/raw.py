@@ -8,10 +8,12 @@ range of days is a partition filter.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weatherlake import schemas
 from weatherlake.functions.calendar import as_date, compact, days_back
@@ -23,6 +25,17 @@ _RAW_WITH_CORRUPT = f"{schemas.RAW}, {schemas.CORRUPT} STRING"
 FILE_DAY = r"weather_(\d{8})_"
 
 
+def _scan(df: DataFrame) -> DataFrame:
+    """Keeps the text of the records that gave nothing at all.
+
+    Spark marks a whole line when any field in it has the wrong type. Such records stay, with null for
+    that field; only a record that could not be parsed keeps its text and counts as rejected.
+    """
+    fields = T.StructType.fromDDL(schemas.RAW).fieldNames()
+    lost = reduce(lambda a, b: a & b, [F.col(field).isNull() for field in fields])
+    return df.withColumn(schemas.CORRUPT, F.when(lost, F.col(schemas.CORRUPT)))
+
+
 def or_empty(read, spark: SparkSession, schema: str) -> DataFrame:
     """The frame that `read` gives, or an empty one with the schema if there is no such path."""
     try:
@@ -49,7 +62,7 @@ def read_raw_range(spark: SparkSession, path: str, end: str | date, days: int =
     def read() -> DataFrame:
         df = spark.read.schema(_RAW_WITH_CORRUPT).json(f"{path}/weather_{{{wanted}}}_*.json")
         day = F.regexp_extract(F.col("_metadata.file_name"), FILE_DAY, 1)
-        return df.withColumn("extraction_date", F.to_date(day, "yyyyMMdd"))
+        return _scan(df.withColumn("extraction_date", F.to_date(day, "yyyyMMdd")))
 
     return or_empty(read, spark, f"{_RAW_WITH_CORRUPT}, extraction_date DATE")
 
@@ -68,7 +81,7 @@ def land_raw(raw: DataFrame, path: str) -> None:
 def read_landed(spark: SparkSession, path: str, end: str | date | None = None, days: int = 7) -> DataFrame:
     """Landed snapshots, of all days or of the days up to `end`."""
     schema = f"{_RAW_WITH_CORRUPT}, extraction_date DATE"
-    df = or_empty(lambda: spark.read.schema(schema).json(path), spark, schema)
+    df = or_empty(lambda: _scan(spark.read.schema(schema).json(path)), spark, schema)
     return df if end is None else in_days(df, "extraction_date", *days_back(as_date(end), days))
 
 
@@ -96,8 +109,8 @@ def read_compacted(spark: SparkSession, path: str, end: str | date | None = None
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records, and rejected ones with their original text.
 
-    Spark marks a JSON record as corrupt by the fields a query reads, so that a mistake in a field
-    that is not read goes unseen; on compacted snapshots, where every field was parsed, none does.
+    Telling them apart takes every field, so on JSON it costs the full parse; on compacted snapshots
+    the mark is a stored column.
     """
     good = raw.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
     return good, raw.where(F.col(schemas.CORRUPT).isNotNull())
