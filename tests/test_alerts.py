@@ -38,6 +38,11 @@ def test_disabled_rule_raises_nothing(spark):
     assert rule_frame(spark, BASIC).where("NOT enabled").select("type").collect() == [("HEAVY_RAIN",)]
 
 
+def test_no_rule_for_the_metrics_gives_no_alerts(spark):
+    found = alerts.detect(readings(spark, (99.0, 99.0, 99.0)).drop("temperature", "windspeed"), BASIC)
+    assert found.columns == ["city", "timestamp", *alerts.ALERT_FIELDS] and found.count() == 0
+
+
 def test_profiles_differ(spark):
     cold = readings(spark, (-15.0, 0.0, 90.0))
     assert types(alerts.detect(cold, BASIC)) == ["HIGH_WIND", "LOW_TEMPERATURE"]

@@ -150,6 +150,20 @@ def test_filters_compose_and_sort_checks_names(spark):
             filters.sort_by(df, order)
 
 
+def test_copies_are_sorted_in_several_tasks(spark):
+    """A third of the rows are copies of one row; no task gets them all, and the order is right."""
+    level = F.when(F.col("id") % 3 == 0, 5.0).otherwise((F.col("id") % 1000) / 100)
+    rows = spark.range(0, 30000, 1, 4).select(level.alias("temperature"))
+    ordered = filters.sort_by(rows, [("temperature", "desc")]).withColumn("task", F.spark_partition_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = ordered.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.temperature for r in found] == sorted(values(rows, "temperature"), reverse=True)
+    assert len({r.task for r in found if r.temperature == 5.0}) > 1
+
+
 def test_erasure_keeps_rows_without_identifier(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "station BIGINT, x STRING")
     erased = spark.createDataFrame([(1,), (1,), (None,)], "station BIGINT")

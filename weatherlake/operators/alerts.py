@@ -13,12 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weatherlake.functions.arrays import zip_shortest
 from weatherlake.functions.calendar import as_date
 from weatherlake.functions.numbers import number_text
 from weatherlake.functions.text import city_or_unknown, display_name, fill
-from weatherlake.operators.filters import in_days, with_hourly
+from weatherlake.operators.filters import in_days, order_rows, with_hourly
 from weatherlake.operators.rules import Rule
 
 METRICS = ("temperature", "precipitation", "windspeed")
@@ -77,8 +78,12 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """
     metrics = [m for m in METRICS if m in readings.columns]
     active = [rule for rule in rules if rule.enabled and rule.metric in metrics]
-    any_hit = reduce(lambda a, b: a | b, [is_hit(rule, F.col(rule.metric)) for rule in active])
     kept = [c for c in readings.columns if c not in METRICS]
+    if not active:
+        nothing = "alert_type STRING, value DOUBLE, threshold DOUBLE, message STRING"
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(nothing)]
+        return readings.where(F.lit(False)).select(*kept, *columns)
+    any_hit = reduce(lambda a, b: a | b, [is_hit(rule, F.col(rule.metric)) for rule in active])
     hits = (
         readings.where(any_hit)
         .select(*kept, F.inline(_hits(active, F.col)).alias("rule", "value"))
@@ -173,7 +178,8 @@ def digest(alerts: DataFrame) -> DataFrame:
     The digest has no bound on its length, so it stays a sorted set of lines; written as text, the
     files one after the other are the digest.
     """
-    return alerts.select("city", "timestamp", "alert_type", "message").orderBy("city", "timestamp", "alert_type")
+    lines = alerts.select("city", "timestamp", "alert_type", "message")
+    return order_rows(lines, "city", "timestamp", "alert_type")
 
 
 def alert_counts(alerts: DataFrame, day: str | date | None = None) -> DataFrame:

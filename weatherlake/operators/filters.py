@@ -115,6 +115,16 @@ def apply_filters(df: DataFrame, spec: FilterSpec, day: str = "obs_date") -> Dat
     return df
 
 
+def order_rows(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """Sorts rows by the keys, with very many rows of equal keys spread over several tasks.
+
+    Spark sorts by ranges of the keys and cannot split rows that are equal in them. A hash of the row
+    tells equal keys apart, and the partition a row comes from tells copies apart.
+    """
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.orderBy(*keys, F.xxhash64(*hashed), F.spark_partition_id())
+
+
 def sort_by(df: DataFrame, order: Sequence[tuple[str, str]]) -> DataFrame:
     """Sorts by any columns, each with "asc" or "desc"."""
     keys = []
@@ -124,4 +134,4 @@ def sort_by(df: DataFrame, order: Sequence[tuple[str, str]]) -> DataFrame:
         if direction not in ("asc", "desc"):
             raise ValueError(f"direction must be asc or desc, not {direction!r}")
         keys.append(F.col(name).desc() if direction == "desc" else F.col(name).asc())
-    return df.orderBy(*keys)
+    return order_rows(df, *keys)

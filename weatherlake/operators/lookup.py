@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherlake import schemas
+from weatherlake.operators.filters import order_rows
 from weatherlake.session import literal_frame
 
 # The two lists of cities with their coordinates.
@@ -55,7 +56,7 @@ def top_cities(df: DataFrame, measure: Column, k: int) -> DataFrame:
 def series_of_top(df: DataFrame, measure: Column, k: int, ts: str = "ts") -> DataFrame:
     """The rows of the top k cities in time order. The broadcast side has k rows."""
     top = top_cities(df, measure, k).select("city")
-    return df.join(F.broadcast(top), "city", "left_semi").orderBy("city", ts)
+    return order_rows(df.join(F.broadcast(top), "city", "left_semi"), "city", ts)
 
 
 def historical_comparison(monthly: DataFrame, key: str, value: str) -> DataFrame:

@@ -17,26 +17,30 @@ from weatherlake.functions.sky import condition
 from weatherlake.operators.filters import in_month
 
 
+# The figures of the city tables, named <figure>_<measure>, and the prefix of the month's.
+CITY_FIGURES = {"temperature": ("avg", "min", "max"), "windspeed": ("avg", "max")}
+MONTH_PREFIX = "monthly"
+
+
+def _city_figures(source: str, target: str) -> list[Column]:
+    """The figures of CITY_FIGURES; `source` and `target` make column names of {figure} and {measure}."""
+    functions = {"avg": F.avg, "min": F.min, "max": F.max}
+    return [
+        functions[figure](source.format(figure=figure, measure=measure))
+        .alias(target.format(figure=figure, measure=measure))
+        for measure, figures in CITY_FIGURES.items()
+        for figure in figures
+    ]
+
+
 def city_stats(current: DataFrame, *by: str) -> DataFrame:
     """Temperature and wind figures per city, or per city and the further columns."""
-    return current.groupBy("city", *by).agg(
-        F.avg("temperature").alias("avg_temperature"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
-        F.avg("windspeed").alias("avg_windspeed"),
-        F.max("windspeed").alias("max_windspeed"),
-    )
+    return current.groupBy("city", *by).agg(*_city_figures("{measure}", "{figure}_{measure}"))
 
 
 def monthly_city_stats(daily: DataFrame, *by: str) -> DataFrame:
     """Month figures from day figures: the averages are means of the daily means, each day counting the same."""
-    return daily.groupBy("city", *by).agg(
-        F.avg("avg_temperature").alias("monthly_avg_temperature"),
-        F.min("min_temperature").alias("monthly_min_temperature"),
-        F.max("max_temperature").alias("monthly_max_temperature"),
-        F.avg("avg_windspeed").alias("monthly_avg_windspeed"),
-        F.max("max_windspeed").alias("monthly_max_windspeed"),
-    )
+    return daily.groupBy("city", *by).agg(*_city_figures("{figure}_{measure}", MONTH_PREFIX + "_{figure}_{measure}"))
 
 
 def monthly_report(snapshots: DataFrame, month: str | None = None, digits: int = 2) -> DataFrame:

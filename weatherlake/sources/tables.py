@@ -27,11 +27,14 @@ def alert_rows(alerts: DataFrame) -> DataFrame:
     """
     if "forecast_time" not in alerts.columns:
         alerts = alerts.withColumn("forecast_time", F.lit(None).cast("string"))
-    alerts = alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED])
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     identity = F.md5(F.concat_ws("|", "city", stamp, "alert_type", "message", "forecast_time"))
-    return alerts.where(complete).select(
+    typed = alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    # Exploding an array of one struct keeps the optimizer from making the texts twice, for the check
+    # and for the row.
+    rows = typed.select(F.inline(F.array(F.struct(*REQUIRED, "forecast_time"))))
+    return rows.where(complete).select(
         identity.alias("id"), *REQUIRED, F.col("forecast_time"), F.lit(0).alias("processed")
     )
 
