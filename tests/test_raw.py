@@ -1,5 +1,6 @@
 """Scans of raw snapshots, and what becomes of odd records."""
 
+import json
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -44,6 +45,17 @@ def test_truncated_file_is_rejected_with_its_text(spark, tmp_path):
     assert [r[schemas.CORRUPT] for r in rejected.collect()] == ['[{"city": "Tokyo", "latitude": 35.']
 
 
+def test_file_cut_anywhere_is_rejected(spark, tmp_path):
+    text = json.dumps([payload("Tokyo")])
+    for cut in range(1, len(text), 7):
+        drop(tmp_path, f"weather_20250924_{cut:06}.json", text[:cut])
+    drop(tmp_path, "weather_20250924_000000.json", '"no object"')
+    drop(tmp_path, "weather_20250924_999999.json", text)
+    good, rejected = raw.split_corrupt(read(spark, tmp_path))
+    assert [r.city for r in good.collect()] == ["Tokyo"]
+    assert len(rejected.collect()) == rejected.count() == len(range(1, len(text), 7)) + 1
+
+
 def test_field_of_the_wrong_type_is_null_and_rejects_nothing(spark, tmp_path):
     drop(tmp_path, "weather_20250924_090000.json", [payload("Paris"), payload("Tokyo", latitude="north")])
     raw.compact_raw(read(spark, tmp_path), str(tmp_path / "compacted"))

@@ -26,14 +26,16 @@ FILE_DAY = r"weather_(\d{8})_"
 
 
 def _scan(df: DataFrame) -> DataFrame:
-    """Keeps the text of the records that gave nothing at all.
+    """Keeps the text of the records that are no JSON or gave nothing at all.
 
-    Spark marks a whole line when any field in it has the wrong type. Such records stay, with null for
-    that field; only a record that could not be parsed keeps its text and counts as rejected.
+    Spark marks a whole line when any field in it has the wrong type, and may read part of a line that
+    ends too early. The first stays, with null for that field; the second is rejected as a whole.
     """
     fields = T.StructType.fromDDL(schemas.RAW).fieldNames()
-    lost = reduce(lambda a, b: a & b, [F.col(field).isNull() for field in fields])
-    return df.withColumn(schemas.CORRUPT, F.when(lost, F.col(schemas.CORRUPT)))
+    text = F.col(schemas.CORRUPT)
+    nothing = reduce(lambda a, b: a & b, [F.col(field).isNull() for field in fields])
+    no_json = F.try_parse_json(text).isNull()
+    return df.withColumn(schemas.CORRUPT, F.when(text.isNotNull() & (nothing | no_json), text))
 
 
 def or_empty(read, spark: SparkSession, schema: str) -> DataFrame:
