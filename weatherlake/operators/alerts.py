@@ -182,12 +182,16 @@ def digest(alerts: DataFrame) -> DataFrame:
     return order_rows(lines, "city", "timestamp", "alert_type")
 
 
-def alert_counts(alerts: DataFrame, day: str | date | None = None) -> DataFrame:
-    """Alerts per city and type, of one day or of all; most frequent type first within a city."""
+def count_alerts(alerts: DataFrame, day: str | date | None = None) -> DataFrame:
+    """Alerts per city and type, of one day or of all."""
     if day is not None:
         alerts = in_days(alerts, "timestamp", as_date(day), as_date(day))
-    counted = alerts.groupBy("city", "alert_type").agg(F.count(F.lit(1)).alias("alert_count"))
-    return counted.orderBy("city", F.desc("alert_count"), "alert_type")
+    return alerts.groupBy("city", "alert_type").agg(F.count(F.lit(1)).alias("alert_count"))
+
+
+def alert_counts(alerts: DataFrame, day: str | date | None = None) -> DataFrame:
+    """The counts as a report: by city, most frequent type first."""
+    return count_alerts(alerts, day).orderBy("city", F.desc("alert_count"), "alert_type")
 
 
 def alert_summary(counts: DataFrame) -> DataFrame:

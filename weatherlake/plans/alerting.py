@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weatherlake.operators import alerts, reshape
+from weatherlake.operators.lookup import WORLD_CITIES, city_frame, city_lookup
 from weatherlake.operators.rules import BASIC, EXTREME, MONITORED, Rule
-from weatherlake.plans.bindings import HOURLY, OBS, obs, payloads, WORLD_CITIES
+from weatherlake.plans.bindings import CITY_TABLE, HOURLY, OBS, obs, payloads
 from weatherlake.plans.catalog import query, stamp
-from weatherlake.operators.lookup import city_frame, city_lookup
-from weatherlake.plans.bindings import CITY_TABLE
 from weatherlake.sources import messages as msg
 
 ALERT_DAY = "2024-01-15"
@@ -136,7 +135,7 @@ def alert_display(spark, sf_dir):
 SELECT city, '{{' || string_agg('"' || alert_type || '":' || n, ',' ORDER BY n DESC, alert_type) || '}}' AS summary
 FROM counts GROUP BY city""")
 def alert_summary(spark, sf_dir):
-    return alerts.alert_summary(alerts.alert_counts(monitored(spark, sf_dir)))
+    return alerts.alert_summary(alerts.count_alerts(monitored(spark, sf_dir)))
 
 
 @query("alert_totals", f"WITH {MONITORED_FLAT} SELECT count(*) AS n_alerts, count(DISTINCT city) AS n_cities FROM alerts")

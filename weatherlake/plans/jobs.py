@@ -118,7 +118,7 @@ def run_alerts(
     connect.write_messages(bundles, channel or connect.Channel(path=f"{output_path}/messages"))
     stored = tables.read_alerts(spark, f"{output_path}/alerts", str(as_date(day)))
     daily.write_text(alerts.digest(alerts.high_priority(found, rules)), f"{output_path}/digest", "message")
-    summary = alerts.alert_summary(alerts.alert_counts(stored))
+    summary = alerts.alert_summary(alerts.count_alerts(stored))
     daily.write_json(summary, f"{output_path}/alert_summary_{as_date(day)}")
     return stored
 
