@@ -88,3 +88,9 @@ def test_command_line():
     options = cli.parse(["daily", "--date", "2025-09-24", "--input-path", "/in", "--output-path", "/out"])
     assert (options.job, options.period, options.input_path) == ("daily", "2025-09-24", "/in")
     assert cli.parse(["alert-stream", "--servers", "s", "--checkpoint", "/c"]).sink_topic == "weather-alerts"
+
+
+def test_command_line_runs_a_job(spark, tmp_path):
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [payload()])
+    cli.main(["daily", "--date", "2025-09-24", "--input-path", str(tmp_path / "raw"), "--output-path", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out/city_stats")).count() == 1

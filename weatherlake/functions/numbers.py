@@ -19,7 +19,7 @@ def number_text(value: Column) -> Column:
     """
     size = F.abs(value)
     exponent = ((size < 1e-3) & (size >= 1e-4)) | ((size >= 1e7) & (size < 1e16))
-    digits = value.cast("decimal(38,18)").cast("string")
+    digits = value.cast("decimal(38,22)").cast("string")
     plain = F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
     return F.when(exponent, plain).otherwise(value.cast("string"))
 

@@ -43,6 +43,10 @@ def _hits(rules: Sequence[Rule], metric: Callable[[str], Column], *extra: Column
     ])
 
 
+def _any_hit(rules: Sequence[Rule], metric: Callable[[str], Column]) -> Column:
+    return reduce(lambda a, b: a | b, [is_hit(rule, metric(rule.metric)) for rule in rules])
+
+
 def _by_rule(rules: Sequence[Rule], number: Column, answer: Callable[[Rule], Column]) -> Column:
     """The answer of the rule with that number."""
     *others, last = enumerate(rules)
@@ -83,9 +87,8 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         nothing = "alert_type STRING, value DOUBLE, threshold DOUBLE, message STRING"
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(nothing)]
         return readings.where(F.lit(False)).select(*kept, *columns)
-    any_hit = reduce(lambda a, b: a | b, [is_hit(rule, F.col(rule.metric)) for rule in active])
     hits = (
-        readings.where(any_hit)
+        readings.where(_any_hit(active, F.col))
         .select(*kept, F.inline(_hits(active, F.col)).alias("rule", "value"))
         .where(F.col("rule").isNotNull())
         .withColumn("value_text", number_text(F.col("value")))
@@ -143,7 +146,9 @@ def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """
     active = [rule for rule in rules if rule.enabled]
     current = _hits(active, lambda m: F.col(f"current.{m}"), F.lit(None).cast("string").alias("time"))
-    hourly = F.flatten(F.transform(_hourly(), lambda e: _hits(active, lambda m: e[m], e["time"].alias("time"))))
+    # Most hours break no rule: they are dropped before any array is made for them.
+    breaking = F.filter(_hourly(), lambda e: _any_hit(active, lambda m: e[m]))
+    hourly = F.flatten(F.transform(breaking, lambda e: _hits(active, lambda m: e[m], e["time"].alias("time"))))
     hits = F.array_compact(F.when(_has_hourly(), F.concat(current, hourly)).otherwise(current))
 
     def alert(hit: Column) -> Column:
