@@ -134,6 +134,7 @@ def test_recent(spark):
     assert [r.ts.day for r in filters.recent(df, "ts", 24, ["Paris"]).collect()] == [24, 25]
     assert filters.recent(df, "ts", 24, ["Paris"], as_of="2025-09-17 12:00:00").count() == 2
     assert filters.recent(df, "ts", 24, ["Rome"]).count() == 0
+    assert filters.recent(df.limit(0), "ts", 24, ["Paris"]).columns == df.columns
 
 
 def test_filters_compose_and_sort_checks_names(spark):

@@ -63,6 +63,8 @@ def recent(
     """
     if as_of is None:
         as_of = df.agg(F.max(column).cast("string")).first()[0]
+        if as_of is None:
+            return df.where(F.lit(False))
     kind = df.schema[column].dataType
     last = F.lit(str(as_of)).cast(kind)
     first = F.lit(str(as_of)).cast(kind) - F.make_dt_interval(hours=F.lit(hours))
