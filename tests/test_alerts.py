@@ -89,6 +89,13 @@ def test_forecast_needs_all_arrays_but_current_does_not(spark, tmp_path):
     assert [len(r.alerts) for r in alerts.alert_bundle(df, MONITORED).collect()] == [1]
 
 
+def test_rules_without_forecast_text_are_for_current_values_only(spark, tmp_path):
+    df = unified(spark, tmp_path, second_dialect())
+    assert types(alerts.detect(alerts.all_readings(df), BASIC)) == ["HIGH_TEMPERATURE"]
+    bundle = alerts.alert_bundle(df, BASIC).collect()
+    assert [[a.alert_type for a in r.alerts] for r in bundle] == [["HIGH_TEMPERATURE"]]
+
+
 def test_bundle_is_the_alerts_by_payload(spark, tmp_path):
     df = unified(spark, tmp_path, second_dialect(), second_dialect("Lille", temperature_2m=20.0), payload("Nice"))
     bundles = {r.city: [a.alert_type for a in r.alerts] for r in alerts.alert_bundle(df, MONITORED).collect()}

@@ -32,11 +32,19 @@ def is_hit(rule: Rule, value: Column) -> Column:
     return value > rule.threshold if rule.direction == "above" else value < rule.threshold
 
 
-def _hits(rules: Sequence[Rule], metric: Callable[[str], Column], *extra: Column) -> Column:
-    """Array with a struct per rule: the rule's number and the value if it is a hit, else null."""
+def _breaks(rule: Rule, value: Column, time: Column | None) -> Column:
+    """A hit, and the rule is one for such readings: a rule without forecast text is for current values only."""
+    hit = is_hit(rule, value)
+    return hit & time.isNull() if time is not None and rule.forecast_message is None else hit
+
+
+def _hits(
+    rules: Sequence[Rule], metric: Callable[[str], Column], time: Column | None, *extra: Column
+) -> Column:
+    """Array with a struct per rule: the rule's number and the value if it is broken, else null."""
     return F.array(*[
         F.when(
-            is_hit(rule, metric(rule.metric)),
+            _breaks(rule, metric(rule.metric), time),
             F.struct(F.lit(number).alias("rule"), metric(rule.metric).alias("value"), *extra),
         )
         for number, rule in enumerate(rules)
@@ -66,9 +74,13 @@ def _message(rules: Sequence[Rule], number: Column, time: Column | None, **texts
         return fill(rule.message, threshold=F.lit(str(rule.threshold)), **texts)
 
     current = _by_rule(rules, number, text)
-    if time is None or any(rule.forecast_message is None for rule in rules):
+    if time is None or all(rule.forecast_message is None for rule in rules):
         return current
-    forecast = _by_rule(rules, number, lambda rule: fill(rule.forecast_message, time=time, **texts))
+
+    def forecast_text(rule: Rule) -> Column:
+        return text(rule) if rule.forecast_message is None else fill(rule.forecast_message, time=time, **texts)
+
+    forecast = _by_rule(rules, number, forecast_text)
     return F.when(time.isNull(), current).otherwise(forecast)
 
 
@@ -77,7 +89,7 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     alert_type, value, threshold and message.
 
     A reading has a city, any of the metrics, and optionally `forecast_time`: where that is not null
-    the alert is a forecast alert, with its own type and text. The texts are made once per alert,
+    the alert is a forecast alert, with its own type and text, or none if the rule has no such text. The texts are made once per alert,
     after the readings without one are gone.
     """
     metrics = [m for m in METRICS if m in readings.columns]
@@ -87,13 +99,13 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         nothing = "alert_type STRING, value DOUBLE, threshold DOUBLE, message STRING"
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(nothing)]
         return readings.where(F.lit(False)).select(*kept, *columns)
+    rule, time = F.col("rule"), F.col("forecast_time") if "forecast_time" in kept else None
     hits = (
         readings.where(_any_hit(active, F.col))
-        .select(*kept, F.inline(_hits(active, F.col)).alias("rule", "value"))
+        .select(*kept, F.inline(_hits(active, F.col, time)).alias("rule", "value"))
         .where(F.col("rule").isNotNull())
         .withColumn("value_text", number_text(F.col("value")))
     )
-    rule, time = F.col("rule"), F.col("forecast_time") if "forecast_time" in kept else None
     return hits.select(
         *kept,
         _alert_type(active, rule, time).alias("alert_type"),
@@ -145,10 +157,11 @@ def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     The array is built inside the payload's row, so no group is ever collected.
     """
     active = [rule for rule in rules if rule.enabled]
-    current = _hits(active, lambda m: F.col(f"current.{m}"), F.lit(None).cast("string").alias("time"))
+    no_time = F.lit(None).cast("string")
+    current = _hits(active, lambda m: F.col(f"current.{m}"), None, no_time.alias("time"))
     # Most hours break no rule: they are dropped before any array is made for them.
     breaking = F.filter(_hourly(), lambda e: _any_hit(active, lambda m: e[m]))
-    hourly = F.flatten(F.transform(breaking, lambda e: _hits(active, lambda m: e[m], e["time"].alias("time"))))
+    hourly = F.flatten(F.transform(breaking, lambda e: _hits(active, lambda m: e[m], e["time"], e["time"].alias("time"))))
     hits = F.array_compact(F.when(_has_hourly(), F.concat(current, hourly)).otherwise(current))
 
     def alert(hit: Column) -> Column:
