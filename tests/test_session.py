@@ -1,38 +1,34 @@
 """The scratch folder and literal frames."""
 
-import pytest
+from pathlib import Path
 
-from weatherlake.session import literal_frame, scratch_path
-
-
-class Settings(dict):
-    def set(self, key, value):
-        self[key] = value
+from weatherlake.session import clear_scratch, literal_frame, scratch_path
 
 
 class Session:
     """What scratch_path uses of a session."""
 
-    def __init__(self, master, **conf):
-        self.conf = Settings(conf)
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, **conf):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse", **conf}
+        self.sparkContext = type("Context", (), {"applicationId": "app-1"})
 
 
 def test_scratch_is_under_the_shared_folder_and_new_each_time():
-    session = Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/scratch/"})
+    session = Session(**{"spark.checkpoint.dir": "hdfs://shared/scratch/"})
     first, second = scratch_path(session, "x"), scratch_path(session, "x")
-    assert first.startswith("hdfs://shared/scratch/weatherlake/x-") and first != second
+    assert first.startswith("hdfs://shared/scratch/weatherlake/app-1/x-") and first != second
 
 
-def test_a_cluster_without_shared_folder_is_refused():
-    with pytest.raises(ValueError):
-        scratch_path(Session("yarn"), "x")
+def test_without_a_checkpoint_folder_scratch_is_in_the_warehouse():
+    assert scratch_path(Session(), "x").startswith("hdfs://shared/warehouse/weatherlake/app-1/x-")
 
 
-def test_local_mode_gets_one_folder_per_session():
-    session = Session("local[2]")
-    first, second = scratch_path(session, "x"), scratch_path(session, "y")
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+def test_clear_scratch_removes_what_was_written(spark):
+    path = scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    assert Path(path).exists()
+    clear_scratch(spark)
+    assert not Path(path).exists()
 
 
 def test_literal_frame_has_a_size_and_may_be_empty(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -48,17 +47,20 @@ def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path not used before, in the shared folder named by spark.checkpoint.dir.
+    """A path not used before, in a folder that the driver and all executors share.
 
-    Only a local-mode session may go without that setting; it then gets its own
-    temporary folder, which is stored in the session for the next call.
+    That is the folder named by spark.checkpoint.dir; a session without one gets a folder in its warehouse, which is
+    shared as well. `clear_scratch` removes what this application wrote there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = spark.conf.get("weatherlake.scratch", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="weatherlake-")
-            spark.conf.set("weatherlake.scratch", base)
-    return f"{base.rstrip('/')}/weatherlake/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/weatherlake/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch data of this application; frames that read it can't be used afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
