@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, mixing, quality, sharding
+from weatherlake.llm import exact_dedup, mixing, piece_bpe, quality, sharding, token_files
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
 SHARDS = 40
+# The tokenizers' files, at the same place on all executors.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +31,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(spark, documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_documents(documents(spark, sf_dir), tokenizer_path(PIECE_TOKENIZER))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sharding.records_of(documents(spark, sf_dir))
     totals = stored(sharding.slot_totals(records), "slot-totals")
@@ -53,6 +70,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op5_sharding, op7_exact_dedup, op10_mixing)
+    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op5_sharding, op7_exact_dedup, op10_mixing)
 }
 SQL: dict[str, str] = {}
