@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weatherlake.llm import exact_dedup, mixing, quality
+from weatherlake.llm import exact_dedup, mixing, near_dedup, piece_bpe, quality
+from weatherlake.llm.queries import PIECE_TOKENIZER, tokenizer_path
 from weatherlake.session import scratch_path
 
 
@@ -18,23 +19,35 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs)
 
 
-def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mix(docs)
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token counts and digests of their ids and decoded texts."""
+    return piece_bpe.encode_documents(docs, tokenizer_path(PIECE_TOKENIZER))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_copies),
-    ("mixing sources to target weights", mixing_sources),
+    ("MinHash near-dedup", near_copies),
+    ("mixing sources to target weights", mixed_sources),
+    ("SentencePiece encoding and decoding", token_ids),
 ]
 
-# Near duplicates and token ids have no SQL form.
+# Near copies and token ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order, each written to the shared folder and read again by the next."""
+    """The stages in order; what each gives is written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
