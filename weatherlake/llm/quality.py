@@ -155,7 +155,10 @@ def verdict(df: DataFrame) -> DataFrame:
     far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(
         F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)
     )
-    return df.withColumn("kept", ~F.col("base_failed") & ~far)
+    # One sum, not a conjunction: a filter by it stays above the join. Its part on the base counts would else be moved
+    # below them, where it repeats their whole computation.
+    against = F.col("base_failed").cast("int") + far.cast("int")
+    return df.withColumn("kept", against == 0)
 
 
 def _inputs(docs: DataFrame, text_column: str, lang_column: str, *more: Column) -> DataFrame:
