@@ -25,14 +25,16 @@ def placed(pool: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     `pool` has vslot and bytes, `loads` has shard and bytes. Both are no larger than the number of slots, so the
     choice is one expression over one row.
     """
-    order = F.sort_array(
-        F.collect_list(F.struct((-F.col("bytes")).alias("less"), F.col("vslot").alias("vslot"))), asc=True
+    both = pool.select("vslot", "bytes", F.lit(None).cast("int").alias("shard")).unionByName(
+        loads.select(F.lit(None).cast("int").alias("vslot"), "bytes", "shard")
     )
-    held = F.map_from_entries(F.collect_list(F.struct(F.col("shard"), F.col("bytes"))))
-    start = loads.agg(held.alias("held")).select(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.coalesce(F.element_at("held", i), F.lit(0).cast("long"))
-        ).alias("start")
+    largest_first = F.struct((-F.col("bytes")).alias("less"), F.col("vslot").alias("vslot"))
+    one = both.agg(
+        F.sort_array(F.collect_list(F.when(F.col("shard").isNull(), largest_first))).alias("pool"),
+        F.map_from_entries(F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("shard", "bytes")))).alias("held"),
+    )
+    start = F.transform(
+        F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("long"))
     )
 
     def step(state: Column, slot: Column) -> Column:
@@ -43,9 +45,7 @@ def placed(pool: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
         )
 
     empty = F.array().cast("array<struct<vslot:int,shard:int>>")
-    # Two frames of one row each: a literal key joins them.
-    one = pool.agg(order.alias("pool")).withColumn("one", F.lit(1)).join(F.broadcast(start.withColumn("one", F.lit(1))), "one")
-    return one.select(
+    return one.withColumn("start", start).select(
         F.inline(F.aggregate("pool", F.struct(F.col("start").alias("loads"), empty.alias("out")), step, lambda s: s["out"]))
     )
 
@@ -65,13 +65,12 @@ def edited_map(old: DataFrame, totals: DataFrame, shards: int, version: int) ->
     A shard keeps its smallest slots up to the mean load. The slots above it, and those of shards that no longer
     exist, go to the lightest shards.
     """
-    mean = totals.agg((F.sum("bytes") / shards).alias("mean"), F.lit(1).alias("one"))
     now = old.join(totals, "vslot", "left").select(
-        "vslot", "shard", F.coalesce("bytes", F.lit(0).cast("long")).alias("bytes"), F.lit(1).alias("one")
+        "vslot", "shard", F.coalesce("bytes", F.lit(0).cast("long")).alias("bytes")
     )
     rising = Window.partitionBy("shard").orderBy("bytes", "vslot")
-    marked = now.withColumn("upto", F.sum("bytes").over(rising)).join(F.broadcast(mean), "one", "left")
-    stays = (F.col("shard") < shards) & (F.col("upto") <= F.coalesce("mean", F.lit(0)))
+    marked = now.withColumns({"upto": F.sum("bytes").over(rising), "all": F.sum("bytes").over(Window.partitionBy())})
+    stays = (F.col("shard") < shards) & (F.col("upto") * shards <= F.col("all"))
     kept = marked.where(stays).select("vslot", "shard", "bytes")
     moved = marked.where(~stays).select("vslot", "bytes")
     loads = kept.groupBy("shard").agg(F.sum("bytes").alias("bytes"))
