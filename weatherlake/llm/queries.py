@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, mixing, near_dedup, piece_bpe, quality, sharding, token_files
+from weatherlake.llm import exact_dedup, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, token_files
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
@@ -63,6 +63,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.train_and_score(documents(spark, sf_dir))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.mark_near_copies(documents(spark, sf_dir))
 
@@ -74,6 +78,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op5_sharding, op7_exact_dedup, op9_minhash, op10_mixing)
+    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op5_sharding, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
 }
 SQL: dict[str, str] = {}
