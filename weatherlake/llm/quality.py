@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weatherlake.llm.common import BLANKS, packed, stored, words
+from weatherlake.llm.common import packed, stored, words
 
 # Frequent words of the languages that have a word histogram.
 COMMON_WORDS = {
@@ -16,13 +16,13 @@ COMMON_WORDS = {
 }
 N_COMMON = 20
 
-# Character classes by the characters that are not in them; `other` is what no class holds.
+# Character classes by the characters that are not in them. `other`, what no class holds, is a-z and control characters.
 NOT_IN_CLASS = {
-    "lower": r"[^a-z]+",
     "upper": r"[^A-Z]+",
     "digit": r"[^0-9]+",
     "blank": r"[^\x20\x09-\x0D]+",
     "symbol": r"[^#*$%&|<>]+",
+    "mark": r"[^!\x22'()+,\-./:;=?@\[\\\]\^_`{}~]+",
     "wide": r"[\x00-\x7F]+",
 }
 CLASSES = [*NOT_IN_CLASS, "other"]
@@ -42,8 +42,15 @@ def _left(text: Column, pattern: str) -> Column:
     return F.char_length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
+def _class(name: str) -> Column:
+    return F.get("class_counts", F.lit(CLASSES.index(name)))
+
+
 def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the column `text` (not null)."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the column `text` (not null).
+
+    The rows have their class_counts.
+    """
     col = F.col(text)
     lines = F.filter(F.split(col, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns({"_words": words(col), "_lines": lines})
@@ -70,8 +77,8 @@ def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate(steps, F.lit(0), lambda total, step: total + step)
     return df.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": _left(col, BLANKS),
-        "n_symbols": _left(col, NOT_IN_CLASS["symbol"]),
+        "word_chars": F.char_length(col) - _class("blank"),
+        "n_symbols": _class("symbol"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
     }).drop("_words", "_lines", "_hashes", "_sorted", "_starts")
@@ -124,17 +131,16 @@ def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
     )
 
 
-def jensen_shannon(left: str, right: str) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of counts; null if one of them is null or adds up to 0."""
-    n, m = F.nullif(_total(left), F.lit(0)), F.nullif(_total(right), F.lit(0))
+def jensen_shannon(left: str, n: str, right: str, m: str) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of counts, with their sums; null if a sum is null or 0."""
 
     def term(a: Column, b: Column) -> Column:
-        p, q = a / n, b / m
+        p, q = a / F.col(n), b / F.col(m)
         part = lambda x: F.when(x > 0, x * F.log2(x / ((p + q) / 2))).otherwise(0.0)
         return part(p) + part(q)
 
     divergence = F.aggregate(F.zip_with(left, right, term), F.lit(0.0), lambda total, x: total + x) / 2
-    return F.when(n.isNotNull() & m.isNotNull(), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+    return F.when((F.col(n) > 0) & (F.col(m) > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
 def verdict(df: DataFrame) -> DataFrame:
@@ -145,8 +151,12 @@ def verdict(df: DataFrame) -> DataFrame:
     """
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     known = F.col("r_docs") >= MIN_REFERENCE_DOCS
-    by_class = F.when(known & (_total("class_counts") >= MIN_CLASS_CHARS), jensen_shannon("class_counts", "r_class_counts"))
-    by_word = F.when(known & (_total("word_counts") >= MIN_HISTOGRAM_WORDS), jensen_shannon("word_counts", "r_word_counts"))
+    sums = ("class_counts", "word_counts", "r_class_counts", "r_word_counts")
+    df = df.withColumns({f"{name}_sum": _total(name) for name in sums})
+    by_class = jensen_shannon("class_counts", "class_counts_sum", "r_class_counts", "r_class_counts_sum")
+    by_word = jensen_shannon("word_counts", "word_counts_sum", "r_word_counts", "r_word_counts_sum")
+    by_class = F.when(known & (F.col("class_counts_sum") >= MIN_CLASS_CHARS), by_class)
+    by_word = F.when(known & (F.col("word_counts_sum") >= MIN_HISTOGRAM_WORDS), by_word)
     df = df.withColumns({
         "base_failed": base_failed,
         "class_distance": F.round(by_class, 6),
@@ -176,7 +186,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     folder, as the references need all of them.
     """
     rows = _inputs(docs, text_column, lang_column, F.col(f"`{id_column}`").alias("doc_id"))
-    counted = stored(histograms(base_counts(rows)).drop("text"), "quality")
+    counted = stored(base_counts(histograms(rows)).drop("text"), "quality")
     known = stored(references(counted), "languages")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"]
     return verdict(counted.join(known, F.expr("lang <=> r_lang"), "left")).select("doc_id", *names)
@@ -186,5 +196,5 @@ def keep_good(docs: DataFrame, text_column: str = "text", lang_column: str = "la
     """The rows that pass, with the input's columns. The text is read twice: for the references, and to judge it."""
     rows = _inputs(docs, text_column, lang_column, packed(docs).alias("row"))
     known = stored(references(histograms(rows.drop("row"))), "languages")
-    judged = verdict(histograms(base_counts(rows)).join(known, F.expr("lang <=> r_lang"), "left"))
+    judged = verdict(base_counts(histograms(rows)).join(known, F.expr("lang <=> r_lang"), "left"))
     return judged.where("kept").select("row.*")
