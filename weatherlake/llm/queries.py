@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, token_files
+from weatherlake.llm import exact_dedup, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, surrogates, token_files
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
 SHARDS = 40
+# Only for the query; a user passes a key of their own.
+SURROGATE_KEY = "key of the query"
 # The tokenizers' files, at the same place on all executors.
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
@@ -39,6 +41,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(documents(spark, sf_dir), tokenizer_path(PIECE_TOKENIZER))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace_entities(documents(spark, sf_dir), SURROGATE_KEY)
+    return replaced.select("row.doc_id", *[name for name in replaced.columns if name != "row"])
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sharding.records_of(documents(spark, sf_dir))
     totals = stored(sharding.slot_totals(records), "slot-totals")
@@ -78,6 +85,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op5_sharding, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
+    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
 }
 SQL: dict[str, str] = {}
