@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, surrogates, token_files
+from weatherlake.llm import exact_dedup, language_id, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, surrogates, token_files
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
@@ -64,6 +64,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_model = language_id.fit_text_model(documents(spark, sf_dir))
+    return language_id.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), text_model)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(documents(spark, sf_dir)).select(
         "row.doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -85,6 +90,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
+    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op6_language_id, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
 }
 SQL: dict[str, str] = {}
