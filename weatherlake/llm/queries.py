@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, language_id, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, surrogates, token_files
+from weatherlake.llm import exact_dedup, language_id, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, sql, surrogates, token_files
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
@@ -92,4 +92,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op6_language_id, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_quality_rules": sql.QUALITY, "op7_exact_dedup": sql.EXACT_DEDUP}
