@@ -1,0 +1,102 @@
+import random
+import zlib
+
+import cases
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from weatherlake.llm import queries, token_files
+from weatherlake.llm.queries import BYTE_TOKENIZER, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(tokenizer_path(BYTE_TOKENIZER))
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def check(docs, got, library):
+    got = sorted(got.collect(), key=lambda r: r.start)
+    keys = [r.doc_id for r in got]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k))
+    start, found = 0, []
+    for row in got:
+        assert row.start == start
+        start += row.n_tokens
+        found.append((row.doc_id, row.n_tokens, row.ids_crc32))
+    want = []
+    for row in docs.collect():
+        ids = np.array([*library(row.text), 0], "<u4")
+        want.append((row.doc_id, len(ids), zlib.crc32(ids.tobytes())))
+    assert sorted(map(repr, found)) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("table", [cases.edge, cases.documents, cases.clashing])
+def test_equals_the_library(spark, library, table):
+    docs = table(spark)
+    check(docs, token_files.token_files(spark, docs, tokenizer_path(BYTE_TOKENIZER)), library)
+
+
+def test_query(spark, library):
+    folder = "/root/testdata/sf0.01"
+    check(spark.read.parquet(f"{folder}/documents.parquet"), queries.op2_token_files(spark, folder), library)
+
+
+def test_empty_table(spark):
+    assert token_files.token_files(spark, cases.empty(spark), tokenizer_path(BYTE_TOKENIZER)).count() == 0
+
+
+def test_segments_change_nothing(library):
+    own = token_files.id_encoder(tokenizer_path(BYTE_TOKENIZER))
+    rng = random.Random(5)
+    parts = ["a", "b", "'s", " ", "  ", "\n", "\n\n", "é", "中", "😀", "\x00", "\t", "the", "1", " " * 9, "　", "<|endoftext|>", "﻿", "\x1c", "\x85", "\xa0", "?!", "\r"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert own.encode(text) == np.array(library(text), "<u4").tobytes(), repr(text)
+
+
+@pytest.mark.parametrize("width", [0, 1, 7, 15, 16, 31, 32])
+@pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097, 9000])
+def test_blocks_round_trip(width, n):
+    ids = np.random.default_rng(width).integers(0, 1 << width, n, dtype=np.uint64).astype(np.uint32)
+    assert (token_files.decode_blocks(token_files.encode_blocks(ids)) == ids).all()
+
+
+def test_outliers_are_exceptions_and_width_is_the_percentile():
+    ids = np.full(4096, 1000, np.uint32) + np.arange(4096, dtype=np.uint32) % 16
+    ids[[5, 4000]] = [4_000_000_000, 70_000]
+    (block,) = token_files.encode_blocks(ids)
+    least, exceptions, width, length = token_files.HEADER.unpack_from(block)
+    assert (least, exceptions, width, length) == (1000, 2, 4, 4096)
+    assert len(block) == token_files.HEADER.size + 4096 * 4 // 8 + 2 * 6
+    assert (token_files.decode_blocks([block]) == ids).all()
+
+
+def test_any_range_of_a_shard_can_be_read(tmp_path):
+    from weatherlake.llm import files
+
+    ids = np.random.default_rng(1).integers(0, 50_000, 30_000).astype("<u4")
+    stream, name = files.write_once(str(tmp_path), "part")
+    writer = token_files.ShardWriter(stream)
+    cuts = [0, 10, 10, 5000, 29_999, 30_000]
+    for i, (start, stop) in enumerate(zip(cuts, cuts[1:])):
+        writer.add(i if i != 1 else None, ids[start:stop].tobytes())
+    writer.close()
+    reader = token_files.ShardReader(str(tmp_path), name)
+    assert (reader.ids(4090, 12_300) == ids[4090:12_300]).all()
+    got = list(reader.documents())
+    assert [key for key, _, _ in got] == [0, None, 2, 3, 4]
+    assert all((own == ids[start : start + len(own)]).all() for _, start, own in got)
+
+
+def test_files_of_failed_attempts_are_not_read(spark, library):
+    from weatherlake.llm import files
+    from weatherlake.session import scratch_path
+
+    docs, folder = cases.documents(spark, 20), scratch_path(spark, "attempts")
+    manifest = token_files.write_token_files(docs, tokenizer_path(BYTE_TOKENIZER), folder)
+    with files.write_once(folder, "part-000000")[0] as stream:
+        stream.write(b"half a file")
+    check(docs, token_files.read_token_files(manifest, folder), library)
