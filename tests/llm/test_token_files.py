@@ -54,7 +54,8 @@ def test_segments_change_nothing(library):
     parts = ["a", "b", "'s", " ", "  ", "\n", "\n\n", "é", "中", "😀", "\x00", "\t", "the", "1", " " * 9, "　", "<|endoftext|>", "﻿", "\x1c", "\x85", "\xa0", "?!", "\r"]
     for _ in range(4000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
-        assert own.encode(text) == np.array(library(text), "<u4").tobytes(), repr(text)
+        assert own.encode([text, "", text + "\n"]) == [np.array(library(t), "<u4").tobytes() for t in (text, "", text + "\n")], repr(text)
+    assert own.encode([]) == []
 
 
 @pytest.mark.parametrize("width", [0, 1, 7, 15, 16, 31, 32])
