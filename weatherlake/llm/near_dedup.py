@@ -5,11 +5,13 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherlake.llm.common import stored
@@ -17,6 +19,10 @@ from weatherlake.llm.common import stored
 WORDS = 5
 SIMILAR_PERCENT = 75
 SEED = 20240901
+# A bucket of no more nodes is compared in full.
+SMALL = 16
+# Elements of the sets that are compared with each other at once.
+BLOCK = 1 << 16
 # Values of a document that are hashed at once under all permutations.
 CHUNK = 8192
 
@@ -36,6 +42,14 @@ class Bands:
         return 2 * self.permutations // self.rows
 
 
+# A sketch has one bit of each of these values. At similarity s two sketches agree in a bit with probability (1 + s) / 2.
+SKETCH = Bands(permutations=256, rows=1)
+# Pairs may differ in this many standard deviations more bits than expected at the limit: 1 in 50 million do at the limit.
+DEVIATIONS = 5.5
+# For nodes of crowded buckets: a pair of similarity 0.75 shares no band with probability 3e-6, one of 0.4 with 0.92.
+LONG_BANDS = Bands(permutations=480, rows=8)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xFF51AFD7ED558CCD)
@@ -71,8 +85,8 @@ class Signer:
         self.offsets = draw(shape.permutations)
         self.places = draw(shape.bands * shape.rows).reshape(shape.bands, shape.rows) | np.uint64(1)
 
-    def bands(self, elements: np.ndarray) -> np.ndarray:
-        """One 64-bit key for each band of the signature of a set that isn't empty."""
+    def signature(self, elements: np.ndarray) -> np.ndarray:
+        """(bands, rows) values of a set that isn't empty."""
         least = greatest = None
         for start in range(0, len(elements), CHUNK):
             permuted = elements[start : start + CHUNK, None] * self.factors + self.offsets
@@ -80,10 +94,17 @@ class Signer:
             least = low if least is None else np.minimum(least, low)
             greatest = high if greatest is None else np.maximum(greatest, high)
         # Least and greatest alternate, so that a band has both ends of few permutations.
-        signature = np.stack([least, greatest], axis=1).reshape(self.shape.bands, self.shape.rows)
-        keys = (_mixed(signature) * self.places).sum(axis=1, dtype=np.uint64)
+        return _mixed(np.stack([least, greatest], axis=1).reshape(self.shape.bands, self.shape.rows))
+
+    def bands(self, elements: np.ndarray) -> np.ndarray:
+        """One 64-bit key for each band of the signature."""
+        keys = (self.signature(elements) * self.places).sum(axis=1, dtype=np.uint64)
         return _mixed(keys + np.arange(self.shape.bands, dtype=np.uint64))
 
+    def sketch(self, elements: np.ndarray) -> np.ndarray:
+        """One bit of each value of the signature, in 64-bit words."""
+        return np.packbits((self.signature(elements) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
 
 def signatures(docs: DataFrame, shape: Bands, id_column: str, text_column: str) -> DataFrame:
     """doc_id, n_shingles, set_key (128 bits of the set; null if empty) and bands (null if empty)."""
@@ -109,15 +130,32 @@ def signatures(docs: DataFrame, shape: Bands, id_column: str, text_column: str)
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """node and its set, for the documents whose ids are given."""
+    """node, its set and its sketch, for the documents whose ids are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(SKETCH)
         for batch in batches:
-            sets = [shingles(text.as_py()).view(np.int64) for text in batch.column(1)]
-            yield pa.record_batch({"node": batch.column(0), "elements": pa.array(sets, pa.list_(pa.int64()))})
+            keys, sets = batch.column(0).to_pylist(), [shingles(text.as_py()) for text in batch.column(1)]
+            # A row that only shares a node's id may have no words.
+            rows = [(key, own) for key, own in zip(keys, sets) if len(own)]
+            yield pa.record_batch({
+                "node": pa.array([key for key, _ in rows], pa.int64()),
+                "elements": pa.array([own.view(np.int64) for _, own in rows], pa.list_(pa.int64())),
+                "sketch": pa.array([signer.sketch(own) for _, own in rows], pa.list_(pa.int64())),
+            })
 
     inputs = docs.select(F.col(f"`{id_column}`").cast("long").alias("node"), F.col(f"`{text_column}`").alias("text"))
-    return inputs.join(nodes, "node", "left_semi").mapInArrow(run, "node LONG, elements ARRAY<LONG>")
+    wanted = inputs.join(nodes, "node", "left_semi")
+    return wanted.mapInArrow(run, "node LONG, elements ARRAY<LONG>, sketch ARRAY<LONG>")
+
+
+def sketches_agree(left: str, right: str, percent: int) -> Column:
+    """Whether two sketches differ in no more bits than those of sets of this similarity do."""
+    bits = 2 * SKETCH.permutations
+    differ = (1 - percent / 100) / 2
+    limit = int(bits * differ + DEVIATIONS * (bits * differ * (1 - differ)) ** 0.5)
+    counts = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(bits // 64)]
+    return reduce(add, counts) <= limit
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -158,65 +196,184 @@ def components(edges: DataFrame) -> DataFrame:
         edges = after
 
 
+def with_components(active: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return active.withColumn("component", F.col("node"))
+    return active.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+
+
+def open_rows(active: DataFrame) -> DataFrame:
+    """The rows (bucket, node, n, sketch, component) of buckets with more than one component, with the bucket's first node and size."""
+    stats = active.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("first"), F.count("*").alias("held")
+    )
+    several = stored(stats.where("low <> high").select("bucket", "first", "held"), "open")
+    return stored(active.join(several, "bucket"), "active")
+
+
+def compared(active: DataFrame, leads: Column, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links of the nodes of each bucket with those that lead it, where the components differ."""
+    marked = active.withColumn("leads", leads)
+    leaders = marked.where("leads").select(
+        "bucket",
+        F.col("node").alias("b"),
+        F.col("n").alias("n_b"),
+        F.col("sketch").alias("sketch_b"),
+        F.col("component").alias("c_b"),
+    )
+    # Sets whose sizes differ more cannot be similar enough; two leaders are compared once.
+    near = (
+        (F.col("component") != F.col("c_b"))
+        & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+        & (~F.col("leads") | (F.col("node") < F.col("b")))
+        & sketches_agree("sketch", "sketch_b", percent)
+    )
+    pairs = marked.join(leaders, "bucket").where(near).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
+    return stored(confirmed(stored(pairs.distinct(), "pairs"), sets, percent), "links")
+
+
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    if links.isEmpty():
+        return roots
+    if roots is not None:
+        links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return components(links)
+
+
+def band_rows(nodes: DataFrame) -> DataFrame:
+    """bucket, node, n for the bands that two nodes or more agree in, from node, n and bands."""
+    placed = stored(nodes.select("node", "n", F.explode("bands").alias("bucket")), "bands")
+    shared = placed.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    shared = stored(shared.where("first <> last").select("bucket"), "shared-bands")
+    return stored(placed.join(shared, "bucket"), "in-shared-bands")
+
+
+def signed_again(sets: DataFrame, shape: Bands) -> DataFrame:
+    """node, n and bands of another shape, from node and elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(shape)
+        for batch in batches:
+            elements = [np.array(e.values).view(np.uint64) for e in batch.column(1)]
+            yield pa.record_batch({
+                "node": batch.column(0),
+                "n": pa.array([len(e) for e in elements], pa.int64()),
+                "bands": pa.array([signer.bands(e).view(np.int64) for e in elements], pa.list_(pa.int64())),
+            })
+
+    return sets.select("node", "elements").mapInArrow(run, "node LONG, n LONG, bands ARRAY<LONG>")
+
+
+def first_matches(table: pa.Table, percent: int) -> pa.Table:
+    """For each of the outsiders of a block, a member that it is similar to, if there is one."""
+    outside = np.array(table["outside"])
+    nodes = np.array(table["node"])
+    lists = table["elements"].combine_chunks()
+    values, offsets = np.array(lists.flatten()), np.array(lists.value_lengths()).cumsum()
+    starts, sizes = np.concatenate([[0], offsets[:-1]]), np.array(lists.value_lengths())
+    members = np.flatnonzero(~outside)
+    held = np.concatenate([values[starts[i] : offsets[i]] for i in members])
+    owners = np.repeat(np.arange(len(members)), sizes[members])
+    order = np.argsort(held, kind="stable")
+    held, owners = held[order], owners[order]
+    found = []
+    for i in np.flatnonzero(outside):
+        own = values[starts[i] : offsets[i]]
+        low, high = np.searchsorted(held, own), np.searchsorted(held, own, side="right")
+        n = high - low
+        at = np.repeat(high - n.cumsum(), n) + np.arange(n.sum())  # all places from low to high
+        shared = np.bincount(owners[at], minlength=len(members))
+        similar = np.flatnonzero(100 * shared >= percent * (sizes[i] + sizes[members] - shared))
+        if len(similar):
+            found.append((nodes[i], nodes[members[similar[0]]]))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def links_to_groups(outsiders: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of outsiders (component, node) to the members (component, node) of components that they may belong to.
+
+    Each outsider is compared with all members, in blocks of about BLOCK elements of both; one link is enough, so rows
+    are sets dealt to blocks and links found, never pairs.
+    """
+    sides = []
+    for rows, is_outside in ((members, False), (outsiders, True)):
+        whole = stored(rows.join(sets.select("node", "elements"), "node"), "group-sets")
+        parts = whole.groupBy("component").agg(F.ceil(F.sum(F.size("elements")) / BLOCK).cast("int").alias("parts"))
+        sides.append((whole, stored(parts, "group-parts"), is_outside))
+    dealt = []
+    for (whole, own, is_outside), (_, other, _) in zip(sides, reversed(sides)):
+        both = whole.join(own, "component").join(other.withColumnRenamed("parts", "others"), "component")
+        part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+        across = F.explode(F.sequence(F.lit(0), F.col("others") - 1))
+        placed = both.select("component", "node", "elements", part.alias("own"), across.alias("other"))
+        names = ("row", "column") if is_outside else ("column", "row")
+        dealt.append(
+            placed.select(
+                "component", F.col("own").alias(names[0]), F.col("other").alias(names[1]), F.lit(is_outside).alias("outside"), "node", "elements"
+            )
+        )
+    groups = dealt[0].unionByName(dealt[1]).groupBy("component", "row", "column")
+    return stored(groups.applyInArrow(lambda table: first_matches(table, percent), "a LONG, b LONG"), "links")
+
+
 def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame | None:
     """node, root for the nodes that have links, or None if no two nodes share a band.
 
-    `nodes` has node, n and bands. In each round the documents of a bucket are compared with a few of them, its
-    leaders: one at first, four times as many in each further round. Confirmed links merge components. A leader leaves
-    its bucket, as it has been compared with all others there, and a bucket is done when all its documents are
-    in one component. So a bucket of near copies costs one comparison a document, and no pair of a bucket is left
-    out but those already in one component.
+    `nodes` has node, n and bands. A bucket holds the nodes that agree in a band. First all are compared with the
+    bucket's first node, which brings groups of near copies together at one comparison a node; a bucket whose nodes are
+    in one component is done. Of the others the small ones are compared in full. The nodes of large ones, which are half
+    alike by what many documents have in common, meet again in bands so long that half-alike sets hardly
+    share any. Where such a bucket has nodes of a large component, the nodes of other components in it are compared with
+    that component as a whole; those of small components are compared with each other, with ever more of them
+    until each bucket is in one component or wholly compared.
     """
-    placed = stored(nodes.select("node", "n", F.explode("bands").alias("bucket")), "buckets")
-    shared = placed.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("held"))
-    shared = stored(shared.where("first <> last"), "shared-buckets")
-    active = stored(placed.join(shared.select("bucket"), "bucket"), "active")
-    candidates = stored(active.select("node").distinct(), "candidates")
+    rows = band_rows(nodes)
+    candidates = stored(rows.select("node").distinct(), "candidates")
     if candidates.isEmpty():
         return None
     sets = stored(shingle_sets(docs, candidates, id_column, text_column), "sets")
-
-    active = active.withColumn("component", F.col("node"))
-    roots = None
+    sketches = sets.select("node", "sketch")
+    rows = stored(rows.join(sketches, "node"), "with-sketches")
+    is_first, is_small = F.col("node") == F.col("first"), F.col("held") <= SMALL
+
+    active = open_rows(with_components(rows, None))
+    roots = merged(None, compared(active, is_first, sets, percent))
+    active = open_rows(with_components(rows, roots))
+    crowd = stored(active.where(~is_small).select("node").distinct(), "crowd")
+    roots = merged(roots, compared(active.where(is_small), F.lit(True), sets, percent))
+    if crowd.isEmpty():
+        return roots
+
+    own_sets = stored(sets.join(crowd, "node", "left_semi"), "crowd-sets")
+    rows = stored(band_rows(signed_again(own_sets, LONG_BANDS)).join(sketches, "node"), "with-sketches")
+    crowd = stored(with_components(crowd, roots), "crowd-components")
+    large = crowd.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") > SMALL)
+    large = stored(large.select("component", F.lit(True).alias("is_large")), "large")
+    active = with_components(rows, roots).join(large, "component", "left")
+    active = stored(open_rows(active).withColumn("is_large", F.coalesce("is_large", F.lit(False))), "by-size")
+    groups = active.where("is_large").select("bucket", F.col("component").alias("group")).distinct()
+    # Of two large components the nodes of one are compared with the other.
+    apart = (F.col("component") != F.col("group")) & (~F.col("is_large") | (F.col("component") > F.col("group")))
+    outsiders = active.join(groups, "bucket").where(apart).select(F.col("group").alias("component"), "node").distinct()
+    members = crowd.join(large, "component", "left_semi").select("component", "node")
+    roots = merged(roots, links_to_groups(outsiders, members, own_sets, percent))
+
+    rows = active.where(~F.col("is_large")).select("bucket", "node", "n", "sketch")
+    done = None
     for round_ in itertools.count():
-        stats = active.groupBy("bucket").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min("node").alias("first"),
-            F.count("*").alias("held"),
-        )
-        open_buckets = stored(stats.where("low <> high").select("bucket", "first", "held"), "open")
-        more = min(4**round_ - 1, 1 << 62)
-        chosen = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("held")) < more
-        active = stored(
-            active.join(open_buckets, "bucket").select(
-                "bucket", "node", "n", "component", ((F.col("node") == F.col("first")) | chosen).alias("leads")
-            ),
-            "active",
-        )
+        active = with_components(rows, roots)
+        if done is not None:
+            active = active.join(done, ["bucket", "node"], "left_anti")
+        active = open_rows(active)
         if active.isEmpty():
-            break
-        leaders = active.where("leads").select(
-            "bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")
-        )
-        near = (F.col("component") != F.col("c_b")) & (
-            100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
-        )  # sets whose sizes differ more cannot be similar enough
-        pairs = active.join(leaders, "bucket").where(near).select(
-            F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
-        )
-        links = stored(confirmed(stored(pairs.distinct(), "pairs"), sets, percent), "links")
-        active = active.where("not leads").drop("leads")
-        if links.isEmpty():
-            continue
-        links = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
-        active = (
-            active.drop("component")
-            .join(roots, "node", "left")
-            .select("bucket", "node", "n", F.coalesce("root", "node").alias("component"))
-        )
-    return roots
+            return roots
+        # A small bucket is compared in full. In others each round has more leaders, which then have met all the rest.
+        chosen = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("held")) < min(4**round_ - 1, 1 << 62)
+        leads = is_first | is_small | chosen
+        roots = merged(roots, compared(active, leads, sets, percent))
+        led = active.where(leads).select("bucket", "node")
+        done = stored(led if done is None else done.unionByName(led), "done")
 
 
 def mark_near_copies(
