@@ -74,7 +74,7 @@ def test_check_digits_stay_true_or_false(spark):
 
 def test_collisions_are_settled(spark):
     """With addresses of one digit each in a small space, many first choices are equal or real."""
-    names = [f"{a}@{b}.org" for a in "0123456789" for b in "01234"]
+    names = [f"{a}@{b}.org" for a in "012345" for b in "01"]
     got = replaced(spark, [f"mail {name} end" for name in names])
     new = [got[i].text.split()[1] for i in range(len(names))]
     assert len(set(new)) == len(names)
