@@ -147,6 +147,18 @@ def test_overlapping_snapshots_give_a_row_each_but_one_latest_hour(spark, tmp_pa
     assert latest == {TIMES[0]: 20.0, TIMES[1]: 21.0, TIMES[2]: 17.0}
 
 
+def test_latest_hour_goes_by_instant_and_unreadable_hours_are_set_apart(spark, tmp_path):
+    hourly = {**payload()["hourly"], "temperature_2m": [1.0, 2.0, 3.0]}
+    earlier = payload(timestamp="2025-09-24T10:00:00+02:00", hourly=hourly)
+    later = payload(timestamp="2025-09-24T09:00:00+00:00")
+    unstamped = payload(timestamp="n/a", hourly={**hourly, "time": [TIMES[0], "soon", None]})
+    raws = frame(spark, tmp_path, later, earlier, unstamped)
+    latest = {r.ts.isoformat()[:16]: (r.temperature, r.snapshot.hour) for r in reshape.hourly_latest(raws).collect()}
+    assert latest == dict(zip(TIMES, [(10.0, 9), (12.0, 9), (17.0, 9)]))
+    assert [(r.time, r.temperature) for r in reshape.unreadable_hours(raws).orderBy("pos").collect()] == [("soon", 2.0), (None, 3.0)]
+    assert "SortAggregate" not in reshape.hourly_latest(raws)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_both_dialects_become_one(spark, tmp_path):
     rows = reshape.unified_current(frame(spark, tmp_path, payload(), second_dialect())).orderBy("city").collect()
     assert [(r.city, r.temperature, r.windspeed, r.timestamp[:16]) for r in rows] == [

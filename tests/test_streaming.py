@@ -67,9 +67,9 @@ def test_throughput_over_two_runs_counts_every_message_once(spark, tmp_path):
     source = connect.Channel(path=str(tmp_path / "in"))
 
     def drain():
-        counted = weather.throughput(connect.stream_source(spark, source))
-        weather.update_table(counted, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-        table = weather.read_updates(spark, str(tmp_path / "out"), "window_start")
+        stream = connect.stream_source(spark, source)
+        weather.update_throughput(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+        table = weather.read_throughput(spark, str(tmp_path / "out"))
         return {r.window_start.strftime("%d %H"): (r.messages, r.mean_delay_seconds, r.is_slow) for r in table.collect()}
 
     publish(spark, source, rows(0, 5))
@@ -78,6 +78,28 @@ def test_throughput_over_two_runs_counts_every_message_once(spark, tmp_path):
     assert drain() == {"24 00": (3, 10.0, True), "24 01": (3, 10.0, True), "24 02": (3, 10.0, True)}
 
 
+def test_throughput_counts_all_messages_newest_first_and_one_file_at_a_time(spark, tmp_path):
+    for first in (20, 10, 0):
+        publish(spark, connect.Channel(path=str(tmp_path / "in")), rows(first, 10))
+    found = []
+    for name, options in (("one", {}), ("many", {"maxFilesPerTrigger": "1"})):
+        stream = connect.stream_source(spark, connect.Channel(path=str(tmp_path / "in"), options=options))
+        out = str(tmp_path / name)
+        weather.update_throughput(stream, out, f"{out}-checkpoint").awaitTermination()
+        found.append(sorted(map(str, weather.read_throughput(spark, out).collect())))
+    assert found[0] == found[1]
+    assert weather.read_throughput(spark, str(tmp_path / "many")).groupBy().sum("messages").first()[0] == 30
+
+
+def test_processed_messages_are_flat(spark, tmp_path):
+    source, sink = (connect.Channel(path=str(tmp_path / name)) for name in ("in", "out"))
+    publish(spark, source, rows(0, 6))
+    stream = weather.processed_messages(connect.stream_source(spark, source))
+    connect.stream_sink(stream, sink, str(tmp_path / "checkpoint")).awaitTermination()
+    published = spark.read.schema(connect.MESSAGE_COLUMNS).json(sink.path)
+    assert published.count() == 6 and "temperature" in published.first().value
+
+
 def test_two_batches_equal_one(spark, tmp_path):
     """The same files one per micro-batch and all at once."""
     source = connect.Channel(path=str(tmp_path / "in"))

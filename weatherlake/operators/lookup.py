@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weatherlake import schemas
 from weatherlake.operators.filters import order_rows
@@ -54,9 +55,9 @@ def top_cities(df: DataFrame, measure: Column, k: int) -> DataFrame:
 
 
 def series_of_top(df: DataFrame, measure: Column, k: int, ts: str = "ts") -> DataFrame:
-    """The rows of the top k cities in time order. The broadcast side has k rows."""
+    """The rows of the top k cities in time order. Spark knows that the limited side has k rows at most."""
     top = top_cities(df, measure, k).select("city")
-    return order_rows(df.join(F.broadcast(top), "city", "left_semi"), "city", ts)
+    return order_rows(df.join(top, "city", "left_semi"), "city", ts)
 
 
 def historical_comparison(monthly: DataFrame, key: str, value: str) -> DataFrame:
@@ -64,7 +65,7 @@ def historical_comparison(monthly: DataFrame, key: str, value: str) -> DataFrame
 
     `monthly` has one row per key, year and month.
     """
-    current = monthly.select(key, "year", "month", F.col(value).alias("current_value"))
-    before = monthly.select(key, (F.col("year") + 1).alias("year"), "month", F.col(value).alias("previous_value"))
-    joined = current.join(before, [key, "year", "month"], "left")
-    return joined.withColumn("change", F.col("current_value") - F.col("previous_value"))
+    same_month = Window.partitionBy(key, "month").orderBy("year").rangeBetween(-1, -1)
+    rows = monthly.select(key, "year", "month", F.col(value).alias("current_value"))
+    compared = rows.withColumn("previous_value", F.first("current_value").over(same_month))
+    return compared.withColumn("change", F.col("current_value") - F.col("previous_value"))

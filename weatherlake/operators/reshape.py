@@ -105,15 +105,11 @@ def unified_current(raw: DataFrame) -> DataFrame:
     return unify(raw).select(city_or_unknown(F.col("city")).alias("city"), "timestamp", "current.*")
 
 
-def hourly_latest(raw: DataFrame) -> DataFrame:
-    """One row per city and forecast hour, from the snapshot taken last.
-
-    Overlapping snapshots repeat an hour many times. The aggregate combines the repeats on the map
-    side, so an hour with very many copies never gathers in one task.
-    """
-    hourly = unify(raw).select(
+def _forecast_hours(raw: DataFrame) -> DataFrame:
+    """One row per hourly element of either dialect, with the instant its snapshot was taken at."""
+    rows = unify(raw).select(
         city_or_unknown(F.col("city")).alias("city"),
-        "timestamp",
+        F.col("timestamp").try_cast("timestamp").alias("snapshot"),
         F.posexplode(
             zip_shortest(
                 F.col("hourly.time"),
@@ -122,18 +118,29 @@ def hourly_latest(raw: DataFrame) -> DataFrame:
             )
         ).alias("pos", "element"),
     )
-    fields = hourly.select(
-        "city",
-        forecast_ts(F.col("element")["time"]).alias("ts"),
-        F.struct(
-            F.col("timestamp").alias("snapshot"),
-            "pos",
-            F.col("element")["temperature"].alias("temperature"),
-            F.col("element")["precipitation"].alias("precipitation"),
-        ).alias("version"),
-    )
-    latest = fields.groupBy("city", "ts").agg(F.max("version").alias("version"))
-    return latest.select("city", "ts", "version.snapshot", "version.temperature", "version.precipitation")
+    return rows.select("city", "snapshot", "pos", "element.*").withColumn("ts", forecast_ts(F.col("time")))
+
+
+def hourly_latest(raw: DataFrame) -> DataFrame:
+    """One row per city and forecast hour, from the snapshot taken last.
+
+    Snapshots are ordered by their instant, whatever offset their stamp has; one whose stamp cannot be read comes
+    before all others. Hours whose time cannot be read have no row here; `unreadable_hours` gives them.
+    Overlapping snapshots repeat an hour many times. All that the aggregate keeps has a fixed width, so it is hashed
+    and combines the repeats on the map side.
+    """
+    hours = _forecast_hours(raw).where(F.col("ts").isNotNull())
+    # Instant, place in the array and, among equals, the values: one number that orders the versions.
+    instant = F.coalesce(F.unix_micros("snapshot"), F.lit(-(10**17))).cast("decimal(38,0)")
+    last = (F.col("pos") * 1_000_000_000 + F.pmod(F.xxhash64("temperature", "precipitation"), F.lit(1_000_000_000))).cast("decimal(20,0)")
+    version = (instant * F.lit(10**18).cast("decimal(19,0)") + last).cast("decimal(38,0)")
+    newest = [F.max_by(name, "version").alias(name) for name in ("snapshot", "temperature", "precipitation")]
+    return hours.withColumn("version", version).groupBy("city", "ts").agg(*newest)
+
+
+def unreadable_hours(raw: DataFrame) -> DataFrame:
+    """The hourly elements whose time is missing or no time, with that text, to be set apart."""
+    return _forecast_hours(raw).where(F.col("ts").isNull()).select("city", "snapshot", "pos", "time", "temperature", "precipitation")
 
 
 def pivot_by_city(df: DataFrame, cities: Sequence[str], value: Column, day: str = "date") -> DataFrame:

@@ -17,30 +17,26 @@ from weatherlake.functions.sky import condition
 from weatherlake.operators.filters import in_month
 
 
-# The figures of the city tables, named <figure>_<measure>, and the prefix of the month's.
-CITY_FIGURES = {"temperature": ("avg", "min", "max"), "windspeed": ("avg", "max")}
-MONTH_PREFIX = "monthly"
-
-
-def _city_figures(source: str, target: str) -> list[Column]:
-    """The figures of CITY_FIGURES; `source` and `target` make column names of {figure} and {measure}."""
-    functions = {"avg": F.avg, "min": F.min, "max": F.max}
-    return [
-        functions[figure](source.format(figure=figure, measure=measure))
-        .alias(target.format(figure=figure, measure=measure))
-        for measure, figures in CITY_FIGURES.items()
-        for figure in figures
-    ]
-
-
 def city_stats(current: DataFrame, *by: str) -> DataFrame:
     """Temperature and wind figures per city, or per city and the further columns."""
-    return current.groupBy("city", *by).agg(*_city_figures("{measure}", "{figure}_{measure}"))
+    return current.groupBy("city", *by).agg(
+        F.avg("temperature").alias("avg_temperature"),
+        F.min("temperature").alias("min_temperature"),
+        F.max("temperature").alias("max_temperature"),
+        F.avg("windspeed").alias("avg_windspeed"),
+        F.max("windspeed").alias("max_windspeed"),
+    )
 
 
 def monthly_city_stats(daily: DataFrame, *by: str) -> DataFrame:
     """Month figures from day figures: the averages are means of the daily means, each day counting the same."""
-    return daily.groupBy("city", *by).agg(*_city_figures("{figure}_{measure}", MONTH_PREFIX + "_{figure}_{measure}"))
+    return daily.groupBy("city", *by).agg(
+        F.avg("avg_temperature").alias("monthly_avg_temperature"),
+        F.min("min_temperature").alias("monthly_min_temperature"),
+        F.max("max_temperature").alias("monthly_max_temperature"),
+        F.avg("avg_windspeed").alias("monthly_avg_windspeed"),
+        F.max("max_windspeed").alias("monthly_max_windspeed"),
+    )
 
 
 def monthly_report(snapshots: DataFrame, month: str | None = None, digits: int = 2) -> DataFrame:
@@ -115,17 +111,25 @@ DERIVED_KEYS = {
 def place_partials(obs: DataFrame, stations: DataFrame, *by: str) -> DataFrame:
     """Sums, counts and extremes per grouping key, ready to be combined further.
 
-    Grouped by station first: a station with very many rows is then a few rows before it meets the
-    join, and the join cannot be skewed by it. Keys of the station (city, region) come from `stations`,
-    which is joined only if one of them is asked for.
+    Keys of the station (city, region) come from `stations`, which is joined only if one of them is asked for. A
+    grouping by station alone first makes a few rows of each station. With further keys, such as the day, it would
+    make hardly fewer rows than there are and shuffle them all; then the observations meet the stations first, which
+    a small table does without a shuffle, and are grouped once, combined on the map side.
     """
-    own = [DERIVED_KEYS[key]().alias(key) if key in DERIVED_KEYS else F.col(key)
-           for key in by if key in DERIVED_KEYS or key in obs.columns]
     own_names = [key for key in by if key in DERIVED_KEYS or key in obs.columns]
+    own = [DERIVED_KEYS[key]().alias(key) if key in DERIVED_KEYS else F.col(key) for key in own_names]
     place = [key for key in by if key not in own_names]
     rows = obs.select(*own, "station", "temperature", "precipitation")
-    first = ["station", *own_names] if place else own_names
-    partial = rows.groupBy(*first).agg(
+    if not place:
+        return _partial(rows, *own_names)
+    placed = stations.select("station", *place)
+    if not own_names:
+        return _partial(rows, "station").join(placed, "station").drop("station")
+    return _partial(rows.join(placed, "station"), *by)
+
+
+def _partial(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
         F.sum("temperature").alias("temperature_sum"),
         F.count("temperature").alias("temperature_count"),
         F.min("temperature").alias("min_temperature"),
@@ -133,9 +137,6 @@ def place_partials(obs: DataFrame, stations: DataFrame, *by: str) -> DataFrame:
         F.sum("precipitation").alias("precipitation_sum"),
         F.count(F.lit(1)).alias("observations"),
     )
-    if not place:
-        return partial
-    return partial.join(stations.select("station", *place), "station").drop("station")
 
 
 def climate_stats(obs: DataFrame, stations: DataFrame, *by: str) -> DataFrame:

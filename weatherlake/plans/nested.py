@@ -56,11 +56,10 @@ def hourly_wind(spark, sf_dir):
     return reshape.hourly_wind(payloads(spark, sf_dir))
 
 
-@query("hourly_latest", f"""WITH {HOURLY}, stamped AS (
-  SELECT *, strftime(snap_ts, '%Y-%m-%dT%H:%M:%S') AS snapshot FROM hourly),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY city, hour_ts
-  ORDER BY snapshot DESC, pos DESC, temperature DESC, precipitation DESC) AS version FROM stamped)
-SELECT city, {stamp('hour_ts', 'ts')}, snapshot, temperature, precipitation FROM ranked WHERE version = 1""")
+@query("hourly_latest", f"""WITH {HOURLY}, ranked AS (SELECT *, row_number() OVER (PARTITION BY city, hour_ts
+  ORDER BY snap_ts DESC, pos DESC) AS version FROM hourly)
+SELECT city, {stamp('hour_ts', 'ts')}, {stamp('snap_ts', 'snapshot')}, temperature, precipitation
+FROM ranked WHERE version = 1""")
 def hourly_latest(spark, sf_dir):
     return reshape.hourly_latest(payloads(spark, sf_dir))
 

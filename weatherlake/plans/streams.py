@@ -17,7 +17,7 @@ from weatherlake.sources.messages import decode, weather_messages
 from weatherlake.streaming import connect, weather
 
 
-def publish_observations(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
+def publish_observations(spark: SparkSession, sf_dir: str, name: str, **options: str) -> tuple[DataFrame, str]:
     """A message per observation, written as files; gives the stream over them and a folder for the results."""
     path = scratch_path(spark, name)
     located = city_lookup(obs(spark, sf_dir), city_frame(spark, WORLD_CITIES), "left")
@@ -29,7 +29,7 @@ def publish_observations(spark: SparkSession, sf_dir: str, name: str) -> tuple[D
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     channel = connect.Channel(path=f"{path}/messages")
     connect.write_messages(weather_messages(payload, stamp), channel)
-    return connect.stream_source(spark, channel), path
+    return connect.stream_source(spark, connect.Channel(path=channel.path, options=options)), path
 
 
 @query("stream_current", f"""WITH {OBS}, {CITY_TABLE} SELECT city, latitude, longitude, temperature, windspeed,
@@ -60,7 +60,6 @@ windows AS (SELECT h, count(*) AS messages, avg(micros) / 1000000::DOUBLE AS mea
 SELECT strftime(h, '%Y-%m-%d %H:%M:%S.%f') AS window_start, messages, mean_delay_seconds,
   mean_delay_seconds > 5 AS is_slow FROM windows""")
 def stream_throughput(spark, sf_dir):
-    stream, path = publish_observations(spark, sf_dir, "stream_throughput")
-    counted = weather.throughput(stream)
-    weather.update_table(counted, f"{path}/windows", f"{path}/checkpoint").awaitTermination()
-    return weather.read_updates(spark, f"{path}/windows", "window_start")
+    stream, path = publish_observations(spark, sf_dir, "stream_throughput", maxFilesPerTrigger="4")
+    weather.update_throughput(stream, f"{path}/windows", f"{path}/checkpoint").awaitTermination()
+    return weather.read_throughput(spark, f"{path}/windows")

@@ -12,11 +12,13 @@ from weatherlake.functions.text import city_or_unknown
 from weatherlake.operators.alerts import detect
 from weatherlake.operators.filters import with_current
 from weatherlake.operators.rules import BASIC, Rule
-from weatherlake.sources.messages import alert_messages, decode
+from weatherlake.sources.messages import JSON_OPTIONS, alert_messages, decode
 
 # A message is late from this many seconds on.
 LATENCY_LIMIT_SECONDS = 5
 
+THROUGHPUT_PARTS = "window_start TIMESTAMP, messages LONG, micros DECIMAL(38,0), with_delay LONG"
+
 
 def current_stream(messages: DataFrame) -> DataFrame:
     """Messages to flat current observations."""
@@ -45,54 +47,56 @@ def alert_message_stream(messages: DataFrame, rules: Sequence[Rule] = BASIC) ->
     return alert_messages(alert_stream(messages, rules))
 
 
-def throughput(messages: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Messages per window of their stamp, and the mean delay between observation and stamp in seconds.
+def delays(messages: DataFrame) -> DataFrame:
+    """Stamp of each city message, and its delay after the observation in microseconds.
 
-    Messages more than `delay` behind the newest stamp seen in earlier micro-batches are late and
-    not counted. The state holds one row per open window.
+    A message without a readable stamp has null there; it is counted in a window of its own, null.
     """
     stamped = with_current(decode(messages)).select(
         F.col("timestamp").try_cast("timestamp").alias("ts"),
         F.col("current_weather.time").try_cast("timestamp").alias("observed"),
     )
-    delay_micros = F.unix_micros("ts") - F.unix_micros("observed")
-    counted = (
-        stamped.withWatermark("ts", delay)
-        .groupBy(F.window("ts", window))
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            (F.avg(delay_micros) / 1e6).alias("mean_delay_seconds"),
-        )
-    )
-    return counted.select(
-        F.col("window.start").alias("window_start"),
-        "messages",
-        "mean_delay_seconds",
-        (F.col("mean_delay_seconds") > LATENCY_LIMIT_SECONDS).alias("is_slow"),
+    return stamped.select("ts", (F.unix_micros("ts") - F.unix_micros("observed")).alias("micros"))
+
+
+def throughput_parts(rows: DataFrame, seconds: int = 3600) -> DataFrame:
+    """Counts and sums per window of the stamp, ready to be added to those of other rows."""
+    start = F.timestamp_seconds(F.floor(F.unix_micros("ts") / (1_000_000 * seconds)) * seconds)
+    return rows.groupBy(start.alias("window_start")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros"),
+        F.count("micros").alias("with_delay"),
     )
 
 
-def update_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the rows of an updating aggregate, one folder per micro-batch.
+def update_throughput(messages: DataFrame, path: str, checkpoint: str, seconds: int = 3600) -> StreamingQuery:
+    """Keeps the parts of each micro-batch in a folder of its own, all that is there now.
 
-    A micro-batch that is run again replaces its own folder, so a restart adds nothing twice.
+    A micro-batch is aggregated alone, so the query holds no state, no message is too late for it, and the parts add
+    up to the same whatever the cut into micro-batches and the order. A micro-batch that is run again replaces
+    its own folder, so a restart adds nothing twice.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        throughput_parts(batch, seconds).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
-        stream.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        delays(messages).writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(save)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_updates(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The newest row per key of a table kept by `update_table`."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (key, "batch")]
-    newest = rows.groupBy(key).agg(F.max(F.struct("batch", *values)).alias("row"))
-    return newest.select(key, *[F.col(f"row.{c}").alias(c) for c in values])
+def read_throughput(spark: SparkSession, path: str) -> DataFrame:
+    """Messages per window, and the mean delay between observation and stamp in seconds: the sum of all parts."""
+    parts = spark.read.schema(THROUGHPUT_PARTS).parquet(path)
+    mean = F.sum("micros").cast("double") / F.nullif(F.sum("with_delay"), F.lit(0)) / 1e6
+    summed = parts.groupBy("window_start").agg(F.sum("messages").alias("messages"), mean.alias("mean_delay_seconds"))
+    return summed.withColumn("is_slow", F.col("mean_delay_seconds") > LATENCY_LIMIT_SECONDS)
+
+
+def processed_messages(messages: DataFrame) -> DataFrame:
+    """Messages to messages of their flat current observation, keyed by city."""
+    flat = current_stream(messages)
+    return flat.select(F.col("city").alias("key"), F.to_json(F.struct(*flat.columns), JSON_OPTIONS).alias("value"))
