@@ -133,15 +133,17 @@ def test_counts_summary_and_totals(spark):
 def test_alert_table_is_added_to_and_refuses_nulls(spark, tmp_path):
     path = str(tmp_path / "alerts")
     found = alerts.detect(readings(spark, (36.0, 0.0, 0.0)), MONITORED)
-    tables.append_alerts(found, path)
-    tables.append_alerts(found.withColumn("value", F.lit(None).cast("double")), path)
+    tables.write_alerts(found, path, "2025-09-24")
+    tables.write_alerts(found, path, "2025-09-24")
+    tables.write_alerts(found.withColumn("value", F.lit(None).cast("double")), path, "2025-09-25")
     later = found.withColumn("timestamp", F.lit("2025-09-26T00:00:00"))
-    tables.append_alerts(later, path)
+    tables.write_alerts(later, path, "2025-09-26")
     stored = tables.read_alerts(spark, path)
     assert stored.count() == 2
     row = tables.read_alerts(spark, path, "2025-09-24").collect()[0]
     assert (row.processed, row.forecast_time, row.alert_type) == (0, None, "temperature_high")
     assert stored.select("id").distinct().count() == 2
+    assert tables.read_alerts(spark, path, run_day="2025-09-26").count() == 1
     assert tables.read_alerts(spark, str(tmp_path / "none")).count() == 0
 
 

@@ -6,6 +6,7 @@ from samples import drop, payload, second_dialect
 
 from weatherlake import __main__ as cli
 from weatherlake.plans import jobs
+from weatherlake.sources import tables
 from weatherlake.streaming import connect
 
 
@@ -28,6 +29,8 @@ def test_no_data_writes_nothing(spark, tmp_path):
     assert jobs.run_monthly(spark, "2025-09", str(tmp_path), str(tmp_path / "out")) is None
     assert jobs.run_alerts(spark, "2025-09-24", str(tmp_path / "raw"), str(tmp_path / "out")) is None
     assert jobs.run_analysis(spark, "2025-09-24", str(tmp_path / "raw"), str(tmp_path / "out")) == {}
+    assert jobs.run_snapshot_stats(spark, "2025-09-24", str(tmp_path / "raw"), str(tmp_path / "out")) is None
+    assert jobs.run_monthly_report(spark, "2025-09", str(tmp_path / "out"), str(tmp_path / "out")) is None
     assert not (tmp_path / "out").exists()
 
 
@@ -68,10 +71,50 @@ def test_alert_job(spark, tmp_path):
     assert digest == "Température élevée à Lyon: 41.0°C (seuil: 35.0°C)\n"
     summary = spark.read.json(str(tmp_path / "out/alert_summary_2025-09-24")).collect()
     assert json.loads(summary[0].summary)["temperature_high"] == 1
-    message = spark.read.json(str(tmp_path / "out/messages")).collect()[0]
+    message = spark.read.json(str(tmp_path / "out/messages")).where("key = 'Lyon'").collect()[0]
     assert message.key == "Lyon" and len(json.loads(message.value)["alerts"]) == 5
 
 
+def test_alert_job_keeps_to_its_day_and_replaces_its_own_run(spark, tmp_path):
+    out = str(tmp_path / "out")
+    hot = {"temperature_2m": 41.0}
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [second_dialect("Lyon", **hot)])
+    drop(tmp_path / "raw", "weather_20250925_090000.json", [second_dialect("Lille", **hot)])
+    counts = []
+    for day in ("2025-09-24", "2025-09-25", "2025-09-25"):
+        stored = jobs.run_alerts(spark, day, str(tmp_path / "raw"), out)
+        table = tables.read_alerts(spark, f"{out}/alerts")
+        counts.append((stored.count(), table.count(), table.select("id").distinct().count(), spark.read.json(f"{out}/messages").count()))
+    assert counts == [(5, 5, 5, 1), (5, 10, 10, 2), (5, 10, 10, 2)]
+    assert {r.city for r in stored.collect()} == {"Lille"}
+
+
+def test_an_unreadable_stamp_is_set_apart(spark, tmp_path):
+    bad = {**second_dialect("Lille", temperature_2m=41.0), "timestamp": "n/a"}
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [second_dialect("Lyon", temperature_2m=41.0), bad])
+    stored = jobs.run_alerts(spark, "2025-09-24", str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert {r.city for r in stored.collect()} == {"Lyon"}
+    apart = spark.read.json(str(tmp_path / "out/unstamped_alerts_2025-09-24"))
+    assert {r.city for r in apart.collect()} == {"Lille"} and apart.count() == 5
+
+
+def test_analysis_reads_its_own_days_only(spark, tmp_path):
+    for day in ("20250901", "20250924"):
+        drop(tmp_path / "raw", f"weather_{day}_090000.json", [payload()])
+    for end in ("2025-09-01", "2025-09-24"):
+        found = jobs.run_analysis(spark, end, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert {str(r.date) for r in found["temperature"].collect()} == {"2025-09-24"}
+    assert found["temperature_pivot"].columns[:2] == ["date", "Paris"] and found["top_temperature_series"].count() == 3
+
+
+def test_command_line_publishes_and_processes(spark, tmp_path):
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [payload(), payload("Tokyo")])
+    cli.main(["publish", "--date", "2025-09-24", "--input-path", str(tmp_path / "raw"), "--path", str(tmp_path / "weather")])
+    cli.main(["processed-stream", "--source-path", str(tmp_path / "weather"), "--sink-path", str(tmp_path / "flat"), "--checkpoint", str(tmp_path / "c")])
+    flat = [json.loads(r.value) for r in spark.read.json(str(tmp_path / "flat")).collect()]
+    assert sorted(row["city"] for row in flat) == ["Paris", "Tokyo"]
+
+
 def test_publish_then_alert_stream(spark, tmp_path):
     hot = {**payload()["current_weather"], "temperature": 36.0}
     drop(tmp_path / "raw", "weather_20250924_090000.json", [payload(), payload("Tokyo", current_weather=hot)])

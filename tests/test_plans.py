@@ -6,10 +6,10 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from weatherlake.operators import alerts, filters, lookup, reshape, wind
 from weatherlake.operators.rules import MONITORED
-from weatherlake.plans import bindings
+from weatherlake.plans import alerting, bindings, climate, nested, observations, storage, streams  # noqa: F401  (register queries)
+from weatherlake.plans.catalog import QUERIES
 from weatherlake.sources import daily, tables
 
 SF_DIR = str(oracle.TESTDATA / "sf0.001")
@@ -29,9 +29,9 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for node in ("Python", "ArrowEval", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition, REPARTITION"):
         assert node not in text
 
@@ -51,7 +51,7 @@ def test_only_the_used_nested_fields_are_read(stored):
 
 
 def test_day_filter_reaches_the_scan(spark):
-    text = plan(driver.queries()["last_n_days"](spark, SF_DIR))
+    text = plan(QUERIES["last_n_days"](spark, SF_DIR))
     assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
 
 
@@ -70,8 +70,8 @@ def test_month_is_a_partition_filter(spark, tmp_path):
 
 
 def test_alert_day_is_a_partition_filter(spark, tmp_path):
-    found = driver.queries()["alerts_current"](spark, SF_DIR)
-    tables.append_alerts(found, str(tmp_path / "alerts"))
+    found = QUERIES["alerts_current"](spark, SF_DIR)
+    tables.write_alerts(found, str(tmp_path / "alerts"), "2024-01-30")
     assert re.search(r"PartitionFilters: \[[^\]]*alert_date", plan(tables.read_alerts(spark, str(tmp_path / "alerts"), "2024-01-03")))
 
 
@@ -88,7 +88,7 @@ def test_city_list_is_broadcast_by_its_size(spark):
 
 
 def test_top_k_does_not_sort_everything(spark):
-    assert "TakeOrderedAndProject" in plan(driver.queries()["top_wind_cities"](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan(QUERIES["top_wind_cities"](spark, SF_DIR))
 
 
 def test_wind_rose_reads_the_rows_once(spark):
@@ -97,7 +97,7 @@ def test_wind_rose_reads_the_rows_once(spark):
 
 @pytest.mark.parametrize("name", ["city_stats", "alert_counts", "wind_rose", "stats_by_region", "temperature_trend"])
 def test_rows_are_combined_before_the_first_shuffle(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     scans = [line for line in text.splitlines()]
     deepest = max(i for i, line in enumerate(scans) if "Exchange hashpartitioning" in line)
     assert "partial_" in scans[deepest + 1]
@@ -132,3 +132,16 @@ def test_hot_key_is_split_where_the_other_side_is_too_large_to_broadcast(spark,
     left = [7 if i % 3 == 0 else i for i in range(60000)]
     expected = [i for i in left if not 100 <= i < 5000] if join == "erase" else [i for i in left if i < 5000]
     assert counted == len(expected)
+
+
+@pytest.mark.parametrize("name", ["temperature_trend", "historical_comparison", "region_analysis", "stats_by_dimension"])
+def test_observations_meet_broadcast_stations_before_any_shuffle(spark, name):
+    lines = plan(QUERIES[name](spark, SF_DIR)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "station" in line)
+    depth = len(re.match(r"\W*", lines[join])[0])
+    own = []
+    for line in lines[join + 1 :]:
+        if len(re.match(r"\W*", line)[0]) <= depth:
+            break
+        own.append(line)
+    assert not any("Exchange hashpartitioning" in line and "station" in line for line in own)

@@ -56,6 +56,13 @@ def test_file_cut_anywhere_is_rejected(spark, tmp_path):
     assert len(rejected.collect()) == rejected.count() == len(range(1, len(text), 7)) + 1
 
 
+def test_a_wrong_type_beside_a_repeated_key_rejects_nothing(spark, tmp_path):
+    text = json.dumps(payload("Tokyo", latitude="north"))
+    drop(tmp_path, "weather_20250924_090000.json", text[:-1] + ', "timezone": "UTC"}')
+    good, rejected = raw.split_corrupt(read(spark, tmp_path))
+    assert [(r.city, r.latitude) for r in good.collect()] == [("Tokyo", None)] and rejected.count() == 0
+
+
 def test_field_of_the_wrong_type_is_null_and_rejects_nothing(spark, tmp_path):
     drop(tmp_path, "weather_20250924_090000.json", [payload("Paris"), payload("Tokyo", latitude="north")])
     raw.compact_raw(read(spark, tmp_path), str(tmp_path / "compacted"))
@@ -162,7 +169,7 @@ def test_latest_hour_goes_by_instant_and_unreadable_hours_are_set_apart(spark, t
 def test_both_dialects_become_one(spark, tmp_path):
     rows = reshape.unified_current(frame(spark, tmp_path, payload(), second_dialect())).orderBy("city").collect()
     assert [(r.city, r.temperature, r.windspeed, r.timestamp[:16]) for r in rows] == [
-        ("Lyon", 36.0, 20.0, "2025-09-24T09:30"), ("Paris", 19.2, 14.4, "2025-09-24T09:00"),
+        ("Lyon", 36.0, 20.0, "2025-09-24T09:30"), ("Paris", 17.6, 11.9, "2025-09-24T09:00"),
     ]
     assert rows[0].humidity == 40.0 and rows[1].humidity is None
 

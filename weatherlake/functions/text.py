@@ -26,6 +26,6 @@ def display_name(code: Column) -> Column:
     return F.initcap(F.replace(code, F.lit("_"), F.lit(" ")))
 
 
-def pseudonym(identifier: Column, salt: str = "") -> Column:
+def pseudonym(identifier: Column, salt: str) -> Column:
     """Hex digest that stands for an identifier; the salt keeps it from being looked up."""
     return F.sha2(F.concat(F.lit(salt), identifier.cast("string")), 256)

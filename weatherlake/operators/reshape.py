@@ -132,7 +132,7 @@ def hourly_latest(raw: DataFrame) -> DataFrame:
     hours = _forecast_hours(raw).where(F.col("ts").isNotNull())
     # Instant, place in the array and, among equals, the values: one number that orders the versions.
     instant = F.coalesce(F.unix_micros("snapshot"), F.lit(-(10**17))).cast("decimal(38,0)")
-    last = (F.col("pos") * 1_000_000_000 + F.pmod(F.xxhash64("temperature", "precipitation"), F.lit(1_000_000_000))).cast("decimal(20,0)")
+    last = (F.col("pos").cast("long") * 1_000_000_000 + F.pmod(F.xxhash64("temperature", "precipitation"), F.lit(1_000_000_000))).cast("decimal(20,0)")
     version = (instant * F.lit(10**18).cast("decimal(19,0)") + last).cast("decimal(38,0)")
     newest = [F.max_by(name, "version").alias(name) for name in ("snapshot", "temperature", "precipitation")]
     return hours.withColumn("version", version).groupBy("city", "ts").agg(*newest)

@@ -7,6 +7,7 @@ the re-run of its tasks only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +16,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weatherlake import schemas
 from weatherlake.functions.calendar import as_date
-from weatherlake.operators import alerts, reshape, stats, wind
+from weatherlake.operators import alerts, lookup, reshape, stats, wind
+from weatherlake.operators.filters import in_month
+from weatherlake.operators.lookup import WORLD_CITIES
 from weatherlake.operators.rules import BASIC, MONITORED, Rule
 from weatherlake.sources import daily, messages, raw, reports, tables
 from weatherlake.streaming import connect, weather
 
 
-def _parsed(spark: SparkSession, snapshots: DataFrame, output_path: str) -> DataFrame | None:
-    """The good records of the snapshots, parsed once; None if there are no snapshots at all."""
+def _parsed(
+    spark: SparkSession, snapshots: DataFrame, output_path: str, end: str | date, days: int = 0
+) -> DataFrame | None:
+    """The good records of the snapshots, parsed once; None if there are no snapshots at all.
+
+    Other runs keep their days in the same folder, so only the days of this run are read back.
+    """
     if snapshots.isEmpty():
         return None
     raw.compact_raw(snapshots, f"{output_path}/snapshots")
-    good, rejected = raw.split_corrupt(raw.read_compacted(spark, f"{output_path}/snapshots"))
+    good, rejected = raw.split_corrupt(raw.read_compacted(spark, f"{output_path}/snapshots", end, days))
     daily.write_parquet(rejected.select(schemas.CORRUPT, "extraction_date"), f"{output_path}/rejected")
     return good
 
 
 def run_daily(spark: SparkSession, day: str, input_path: str, output_path: str) -> DataFrame | None:
     """One day's snapshots to the tables `current` and `city_stats`; None and no output without data."""
-    good = _parsed(spark, raw.read_raw(spark, input_path, day), output_path)
+    good = _parsed(spark, raw.read_raw(spark, input_path, day), output_path, day)
     if good is None:
         return None
     daily.write_parquet(reshape.current_flat(good), f"{output_path}/current")
@@ -54,18 +62,28 @@ def run_monthly(spark: SparkSession, month: str, input_path: str, output_path: s
     return written
 
 
-def run_snapshot_stats(spark: SparkSession, day: str, input_path: str, output_path: str) -> DataFrame:
-    """One day's snapshot figures into the daily data set, beside the other days; gives its profile."""
+def run_snapshot_stats(spark: SparkSession, day: str, input_path: str, output_path: str) -> DataFrame | None:
+    """One day's snapshot figures into the daily data set, beside the other days; gives its profile.
+
+    None and no output without data.
+    """
     good, _ = raw.split_corrupt(raw.read_raw(spark, input_path, day))
+    if good.isEmpty():
+        return None
     path = f"{output_path}/daily_weather_stats"
     daily.write_daily(reshape.snapshot_stats(good), path, "date")
     written = daily.read_daily(spark, path, schema=schemas.SNAPSHOT_STATS)
     return stats.dataset_profile(written.where(F.col("date") == F.lit(as_date(day))), "date")
 
 
-def run_monthly_report(spark: SparkSession, month: str, input_path: str, output_path: str) -> DataFrame:
-    """The month's report from the daily data set, as CSV and as text."""
-    snapshots = daily.read_daily(spark, f"{input_path}/daily_weather_stats", schema=schemas.SNAPSHOT_STATS)
+def run_monthly_report(spark: SparkSession, month: str, input_path: str, output_path: str) -> DataFrame | None:
+    """The month's report from the daily data set, as CSV and as text; None and no output without data."""
+    path = f"{input_path}/daily_weather_stats"
+    snapshots = raw.or_empty(
+        lambda: daily.read_daily(spark, path, schema=schemas.SNAPSHOT_STATS), spark, schemas.SNAPSHOT_STATS
+    )
+    if in_month(snapshots, "date", month).isEmpty():
+        return None
     digits = month.replace("-", "")
     report = stats.monthly_report(snapshots, month).orderBy("city")
     daily.write_csv(report, f"{output_path}/monthly_weather_report_{digits}")
@@ -75,10 +93,14 @@ def run_monthly_report(spark: SparkSession, month: str, input_path: str, output_
 
 
 def run_analysis(
-    spark: SparkSession, end: str | date, input_path: str, output_path: str, days: int = 7
+    spark: SparkSession, end: str | date, input_path: str, output_path: str, days: int = 7,
+    cities: Sequence[str] = tuple(city for city, *_ in WORLD_CITIES), top: int = 5,
 ) -> dict[str, DataFrame]:
-    """The last days' hourly tables and the figures made from them, each written on its own."""
-    good = _parsed(spark, raw.read_raw_range(spark, input_path, end, days), output_path)
+    """The last days' hourly tables and the figures made from them, each written on its own.
+
+    The pivots have a column for each of `cities`; the series are those of the `top` warmest cities.
+    """
+    good = _parsed(spark, raw.read_raw_range(spark, input_path, end, days), output_path, end, days)
     if good is None:
         return {}
 
@@ -96,6 +118,11 @@ def run_analysis(
         "daily_precipitation": stats.daily_precipitation(precipitation, "date"),
         "wind_by_city": stats.wind_by_city(winds, "wind_speed"),
         "wind_rose": wind.wind_rose(winds, speed="wind_speed", direction="wind_direction"),
+        "temperature_pivot": reshape.pivot_by_city(temperature, cities, F.avg("temperature")),
+        "precipitation_pivot": reshape.pivot_by_city(
+            stats.daily_precipitation(precipitation, "date"), cities, F.max("total_precipitation")
+        ),
+        "top_temperature_series": lookup.series_of_top(temperature, F.avg("temperature"), top),
     }
     return {
         "temperature": temperature, "precipitation": precipitation, "wind": winds,
@@ -107,16 +134,24 @@ def run_alerts(
     spark: SparkSession, day: str, input_path: str, output_path: str, rules: list[Rule] = MONITORED,
     channel: connect.Channel | None = None,
 ) -> DataFrame | None:
-    """One day's payloads to alerts: alert table, bundle messages, digest of the urgent ones, summary."""
-    good = _parsed(spark, raw.read_raw(spark, input_path, day), output_path)
+    """One day's payloads to alerts: alert table, bundle messages, digest of the urgent ones, summary.
+
+    A run for the same day replaces its alerts, its messages in files, digest and summary. Alerts whose stamp is no time
+    are set apart.
+    """
+    good = _parsed(spark, raw.read_raw(spark, input_path, day), output_path, day)
     if good is None:
         return None
     payloads = reshape.unify(good)
     found = alerts.detect(alerts.all_readings(payloads), rules)
-    tables.append_alerts(found, f"{output_path}/alerts")
+    tables.write_alerts(found, f"{output_path}/alerts", day)
+    daily.write_json(tables.unstamped(found), f"{output_path}/unstamped_alerts_{as_date(day)}")
     bundles = messages.bundle_messages(alerts.alert_bundle(payloads, rules))
-    connect.write_messages(bundles, channel or connect.Channel(path=f"{output_path}/messages"))
-    stored = tables.read_alerts(spark, f"{output_path}/alerts", str(as_date(day)))
+    if channel is None:
+        connect.write_messages(bundles, connect.Channel(path=f"{output_path}/messages/run_date={as_date(day)}"), "overwrite")
+    else:
+        connect.write_messages(bundles, channel)
+    stored = tables.read_alerts(spark, f"{output_path}/alerts", run_day=day)
     daily.write_text(alerts.digest(alerts.high_priority(found, rules)), f"{output_path}/digest", "message")
     summary = alerts.alert_summary(alerts.count_alerts(stored))
     daily.write_json(summary, f"{output_path}/alert_summary_{as_date(day)}")
@@ -134,6 +169,14 @@ def run_publish(
     connect.write_messages(envelopes.unionByName(messages.statistics_message(summary, stamp)), channel)
 
 
+def run_processed_stream(
+    spark: SparkSession, source: connect.Channel, sink: connect.Channel, checkpoint: str
+) -> StreamingQuery:
+    """Drains the weather topic into flat observations on the topic of processed ones."""
+    stream = connect.stream_source(spark, source)
+    return connect.stream_sink(weather.processed_messages(stream), sink, checkpoint)
+
+
 def run_alert_stream(
     spark: SparkSession, source: connect.Channel, sink: connect.Channel, checkpoint: str, rules: list[Rule] = BASIC
 ) -> StreamingQuery:

@@ -57,8 +57,8 @@ def hourly_wind(spark, sf_dir):
 
 
 @query("hourly_latest", f"""WITH {HOURLY}, ranked AS (SELECT *, row_number() OVER (PARTITION BY city, hour_ts
-  ORDER BY snap_ts DESC, pos DESC) AS version FROM hourly)
-SELECT city, {stamp('hour_ts', 'ts')}, {stamp('snap_ts', 'snapshot')}, temperature, precipitation
+  ORDER BY date_trunc('second', snap_ts) DESC, pos DESC) AS version FROM hourly)
+SELECT city, {stamp('hour_ts', 'ts')}, {stamp("date_trunc('second', snap_ts)", 'snapshot')}, temperature, precipitation
 FROM ranked WHERE version = 1""")
 def hourly_latest(spark, sf_dir):
     return reshape.hourly_latest(payloads(spark, sf_dir))

@@ -92,15 +92,19 @@ def pivot_temperature(spark, sf_dir):
     return pivot_by_city(obs(spark, sf_dir), CITIES, F.avg("temperature"), "obs_date")
 
 
-@query("pivot_precipitation", _pivot_sql("sum(precipitation)"))
+@query("pivot_precipitation", f"""WITH {OBS}, daily AS (SELECT city, obs_date, coalesce(sum(precipitation), 0) AS total
+  FROM obs GROUP BY city, obs_date) SELECT {day('obs_date')},
+  {", ".join(f"max(total) FILTER (WHERE city = '{city}') AS " + '"' + city + '"' for city in CITIES)} FROM daily GROUP BY obs_date""")
 def pivot_precipitation(spark, sf_dir):
-    return pivot_by_city(obs(spark, sf_dir), CITIES, F.sum("precipitation"), "obs_date")
+    """The daily totals, 0 where all values are null; null only where a city has no rows on a day."""
+    daily = stats.daily_precipitation(obs(spark, sf_dir))
+    return pivot_by_city(daily, CITIES, F.max("total_precipitation"), "obs_date")
 
 
 @query("top_temperature_cities", f"""WITH {OBS} SELECT city, avg(temperature) AS measure FROM obs
-GROUP BY city ORDER BY measure DESC, city LIMIT 5""")
+GROUP BY city ORDER BY measure DESC, city LIMIT 3""")
 def top_temperature_cities(spark, sf_dir):
-    return lookup.top_cities(obs(spark, sf_dir), F.avg("temperature"), 5)
+    return lookup.top_cities(obs(spark, sf_dir), F.avg("temperature"), 3)
 
 
 @query("top_wind_cities", f"""WITH {OBS} SELECT city, avg(windspeed) AS measure FROM obs

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherlake import schemas
+from weatherlake.functions.calendar import as_date
 from weatherlake.sources.raw import or_empty
 
 REQUIRED = ("city", "timestamp", "alert_type", "value", "threshold", "message")
@@ -23,14 +25,15 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def alert_rows(alerts: DataFrame) -> DataFrame:
     """Alerts as rows of the alert table: a key from their content, and not yet processed.
 
-    Rows that lack a required value are left out, as a NOT NULL column would refuse them.
+    Rows that lack a required value are left out, as a NOT NULL column would refuse them; `unstamped` gives those whose
+    stamp is there but no time.
     """
     if "forecast_time" not in alerts.columns:
         alerts = alerts.withColumn("forecast_time", F.lit(None).cast("string"))
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED])
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     identity = F.md5(F.concat_ws("|", "city", stamp, "alert_type", "message", "forecast_time"))
-    typed = alerts.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    typed = alerts.withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
     # Exploding an array of one struct keeps the optimizer from making the texts twice, for the check
     # and for the row.
     rows = typed.select(F.inline(F.array(F.struct(*REQUIRED, "forecast_time"))))
@@ -39,15 +42,31 @@ def alert_rows(alerts: DataFrame) -> DataFrame:
     )
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    """Adds alerts to the table, with a folder per day so that a day's summary reads that day only."""
+def unstamped(alerts: DataFrame) -> DataFrame:
+    """Alerts whose stamp cannot be read as a time, as they are, to be set apart."""
+    return alerts.where(F.col("timestamp").isNotNull() & F.col("timestamp").try_cast("timestamp_ntz").isNull())
+
+
+def write_alerts(alerts: DataFrame, path: str, run_day: str | date) -> None:
+    """Adds a run's alerts to the table, with a folder per alert day inside the run's own folder.
+
+    A run for the same day replaces what the run before wrote, so a repeated run adds nothing twice.
+    """
     rows = alert_rows(alerts).withColumn("alert_date", F.col("timestamp").cast("date"))
-    rows.hint("rebalance", "alert_date").write.mode("append").partitionBy("alert_date").parquet(path)
+    (
+        rows.hint("rebalance", "alert_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("alert_date")
+        .parquet(f"{path}/run_date={as_date(run_day)}")
+    )
 
 
-def read_alerts(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
-    schema = f"{schemas.ALERTS}, alert_date DATE"
+def read_alerts(spark: SparkSession, path: str, day: str | None = None, run_day: str | date | None = None) -> DataFrame:
+    """The alert table, or the alerts of one day or of one run."""
+    schema = f"{schemas.ALERTS}, run_date DATE, alert_date DATE"
     df = or_empty(lambda: spark.read.schema(schema).parquet(path), spark, schema)
-    if day is not None:
-        df = df.where(F.col("alert_date") == F.lit(day).cast("date"))
-    return df.drop("alert_date")
+    for column, wanted in (("alert_date", day), ("run_date", run_day)):
+        if wanted is not None:
+            df = df.where(F.col(column) == F.lit(str(as_date(wanted))).cast("date"))
+    return df.drop("alert_date", "run_date")

@@ -47,8 +47,8 @@ def stream_source(spark: SparkSession, channel: Channel, starting: str = "latest
     return spark.readStream.schema(MESSAGE_COLUMNS).options(**channel.options).json(channel.path)
 
 
-def write_messages(messages: DataFrame, channel: Channel) -> None:
-    """Publishes a batch of key and value."""
+def write_messages(messages: DataFrame, channel: Channel, mode: str = "append") -> None:
+    """Publishes a batch of key and value; mode="overwrite" replaces a folder's messages, a topic is only added to."""
     if channel.topic is not None:
         (
             messages.write.format("kafka")
@@ -58,7 +58,7 @@ def write_messages(messages: DataFrame, channel: Channel) -> None:
             .save()
         )
     else:
-        messages.write.mode("append").options(**channel.options).json(channel.path)
+        messages.write.mode(mode).options(**channel.options).json(channel.path)
 
 
 def stream_sink(messages: DataFrame, channel: Channel, checkpoint: str) -> StreamingQuery:
