@@ -81,6 +81,16 @@ OBS = f"""obs AS (
 )"""
 
 
+def months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations over several months: two thirds of them are put one or two spans of 31 days earlier."""
+    back = (F.col("event_id") % 3 * 31).cast("int")
+    return obs(spark, sf_dir).withColumn("obs_date", F.date_sub("obs_date", back))
+
+
+MONTHS = f"""{OBS}, months AS (
+  SELECT * REPLACE (CAST(obs_date - CAST(event_id % 3 * 31 AS INTEGER) AS DATE) AS obs_date) FROM obs)"""
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested raw payloads: a city's observations of one fetch as parallel hourly arrays.
 

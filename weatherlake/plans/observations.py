@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from weatherlake.functions.text import pseudonym
 from weatherlake.operators import filters, lookup, stats, wind
 from weatherlake.operators.reshape import pivot_by_city
-from weatherlake.plans.bindings import CITIES, CITY_TABLE, OBS, climate_obs, CLIMATE, obs, table
+from weatherlake.plans.bindings import CITIES, CITY_TABLE, CLIMATE, MONTHS, OBS, climate_obs, months, obs, table
 from weatherlake.plans.catalog import day, query, stamp
 from weatherlake.sources.reports import notification_text
 
@@ -23,15 +23,15 @@ def city_stats(spark, sf_dir):
     return stats.city_stats(obs(spark, sf_dir), "obs_date")
 
 
-@query("monthly_city_stats", f"""WITH {OBS}, daily AS (
-  SELECT city, obs_date, {STATS_SQL} FROM obs GROUP BY city, obs_date)
+@query("monthly_city_stats", f"""WITH {MONTHS}, daily AS (
+  SELECT city, obs_date, {STATS_SQL} FROM months GROUP BY city, obs_date)
 SELECT city, CAST(CAST(date_trunc('month', obs_date) AS DATE) AS VARCHAR) AS month,
   round(avg(avg_temperature), 6) AS monthly_avg_temperature,
   min(min_temperature) AS monthly_min_temperature, max(max_temperature) AS monthly_max_temperature,
   round(avg(avg_windspeed), 6) AS monthly_avg_windspeed, max(max_windspeed) AS monthly_max_windspeed
 FROM daily GROUP BY city, date_trunc('month', obs_date)""")
 def monthly_city_stats(spark, sf_dir):
-    daily = stats.city_stats(obs(spark, sf_dir), "obs_date")
+    daily = stats.city_stats(months(spark, sf_dir), "obs_date")
     monthly = stats.monthly_city_stats(daily.withColumn("month", F.trunc("obs_date", "month")), "month")
     means = ["monthly_avg_temperature", "monthly_avg_windspeed"]
     return monthly.withColumns({name: F.round(name, 6) for name in means})

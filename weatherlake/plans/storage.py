@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from weatherlake import schemas
 from weatherlake.operators import filters, reshape, stats
 from weatherlake.plans.alerting import MONITORED_FLAT, monitored
-from weatherlake.plans.bindings import HOURLY, OBS, SNAPSHOTS, obs, payloads
+from weatherlake.plans.bindings import HOURLY, MONTHS, OBS, SNAPSHOTS, months, obs, payloads
 from weatherlake.plans.catalog import day, query, stamp
 from weatherlake.plans.nested import SNAPSHOT_STATS
 from weatherlake.plans.observations import RANGE_DAYS, RANGE_END, ROW, STATS_SQL
@@ -58,11 +58,12 @@ def corrupt_split(spark, sf_dir):
     return raw.read_compacted(spark, f"{path}/compacted").groupBy("extraction_date", status).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("month_scan", f"WITH {OBS} SELECT city, {day('obs_date')}, {STATS_SQL} FROM obs GROUP BY city, obs_date")
+@query("month_scan", f"""WITH {MONTHS} SELECT city, {day('obs_date')}, {STATS_SQL} FROM months
+WHERE obs_date BETWEEN DATE '2023-12-01' AND DATE '2023-12-31' GROUP BY city, obs_date""")
 def month_scan(spark, sf_dir):
     path = scratch_path(spark, "month_scan")
-    daily.write_daily(stats.city_stats(obs(spark, sf_dir), "obs_date"), path)
-    return daily.read_daily(spark, path, "2024-01")
+    daily.write_daily(stats.city_stats(months(spark, sf_dir), "obs_date"), path)
+    return daily.read_daily(spark, path, "2023-12")
 
 
 @query("parquet_roundtrip", f"""WITH {OBS} SELECT event_id, city, {stamp('ts')}, temperature, windspeed, precipitation,
