@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from weatherlake import schemas
@@ -26,11 +27,25 @@ def _payload_rows(df):
     )
 
 
-@query("raw_scan", f"WITH {HOURLY} {PAYLOAD_ROWS} GROUP BY city, fetch_no, snap_ts")
+RAW_DAY = "2024-01-12"
+
+
+def dropped_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder of the payloads in files named as a fetcher names them, weather_YYYYMMDD_NNNNNN.json."""
+    path = scratch_path(spark, name)
+    raw.land_raw(payloads(spark, sf_dir), f"{path}/landed")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, file in enumerate(system.globStatus(hadoop(f"{path}/landed/extraction_date=*/*.json"))):
+        day = file.getPath().getParent().getName().split("=")[1].replace("-", "")
+        system.rename(file.getPath(), hadoop(f"{path}/weather_{day}_{i:06d}.json"))
+    return path
+
+
+@query("raw_scan", f"""WITH {HOURLY} {PAYLOAD_ROWS} WHERE CAST(snap_ts AS DATE) = DATE '{RAW_DAY}'
+GROUP BY city, fetch_no, snap_ts""")
 def raw_scan(spark, sf_dir):
-    path = scratch_path(spark, "raw_scan")
-    raw.land_raw(payloads(spark, sf_dir), path)
-    good, _ = raw.split_corrupt(raw.read_landed(spark, path))
+    good, _ = raw.split_corrupt(raw.read_raw(spark, dropped_files(spark, sf_dir, "raw_scan"), RAW_DAY))
     return _payload_rows(good)
 
 
@@ -38,7 +53,23 @@ def raw_scan(spark, sf_dir):
 WHERE CAST(snap_ts AS DATE) BETWEEN DATE '{RANGE_END}' - {RANGE_DAYS} AND DATE '{RANGE_END}'
 GROUP BY city, fetch_no, snap_ts""")
 def raw_range_scan(spark, sf_dir):
-    path = scratch_path(spark, "raw_range_scan")
+    path = dropped_files(spark, sf_dir, "raw_range_scan")
+    return _payload_rows(raw.read_raw_range(spark, path, RANGE_END, RANGE_DAYS))
+
+
+@query("landed_scan", f"WITH {HOURLY} {PAYLOAD_ROWS} GROUP BY city, fetch_no, snap_ts")
+def landed_scan(spark, sf_dir):
+    path = scratch_path(spark, "landed_scan")
+    raw.land_raw(payloads(spark, sf_dir), path)
+    good, _ = raw.split_corrupt(raw.read_landed(spark, path))
+    return _payload_rows(good)
+
+
+@query("landed_range_scan", f"""WITH {HOURLY} {PAYLOAD_ROWS}
+WHERE CAST(snap_ts AS DATE) BETWEEN DATE '{RANGE_END}' - {RANGE_DAYS} AND DATE '{RANGE_END}'
+GROUP BY city, fetch_no, snap_ts""")
+def landed_range_scan(spark, sf_dir):
+    path = scratch_path(spark, "landed_range_scan")
     raw.land_raw(payloads(spark, sf_dir), path)
     return _payload_rows(raw.read_landed(spark, path, RANGE_END, RANGE_DAYS))
 
