@@ -151,6 +151,17 @@ def all_alerts(current: DataFrame, forecast: DataFrame) -> DataFrame:
     return current.unionByName(forecast, allowMissingColumns=True)
 
 
+def _may_hit(rules: Sequence[Rule]) -> Column:
+    """Whether a payload's extremes break a rule: compiled tests that spare most payloads the array functions."""
+    tests = [F.lit(False)]
+    for rule in rules:
+        extreme = F.array_max if rule.direction == "above" else F.array_min
+        for value in (F.col(f"current.{rule.metric}"), extreme(f"hourly.{rule.metric}")):
+            breaks = value > rule.threshold if rule.direction == "above" else value < rule.threshold
+            tests.append(F.coalesce(breaks, F.lit(False)))
+    return reduce(lambda a, b: a | b, tests)
+
+
 def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per payload with alerts: city, timestamp and the array of its alerts, current ones first.
 
@@ -177,7 +188,7 @@ def alert_bundle(payloads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     # Exploding an array of one array keeps the optimizer from working the hits out twice, for the
     # filter and again for the texts.
-    found = payloads.select(
+    found = payloads.where(_may_hit(active)).select(
         city_or_unknown(F.col("city")).alias("city"), "timestamp", F.explode(F.array(hits)).alias("hits")
     )
     return found.where(F.size("hits") > 0).select("city", "timestamp", F.transform("hits", alert).alias("alerts"))
