@@ -34,7 +34,7 @@ MAX_REPEAT_PERCENT = 20
 MIN_CLASS_CHARS = 200
 MIN_HISTOGRAM_WORDS = 60
 MIN_REFERENCE_DOCS = 20
-MAX_CLASS_DISTANCE = 0.30
+MAX_CLASS_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.60
 
 
