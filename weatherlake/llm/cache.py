@@ -18,7 +18,14 @@ class Recent(dict):
         return value
 
     def put(self, key, value) -> None:
+        self._make_room()
+        self[key] = value
+
+    def put_all(self, values: dict) -> None:
+        self._make_room()
+        self.update(values)
+
+    def _make_room(self) -> None:
         if len(self) >= self.limit:
             self.before = dict(self)
             self.clear()
-        self[key] = value

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,9 @@ FOOTER = struct.Struct("<QQQ8s")
 MAGIC = b"PFORIDS1"
 BLOCKS_AT_ONCE = 256
 # Frequent segments that a worker remembers, and the longest that it does.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+# Bytes of text that are encoded at once.
+CHUNK_BYTES = 6 << 20
 LONGEST_REMEMBERED = 64
 
 
@@ -216,13 +219,18 @@ def _single_blanks(text: str) -> bool:
     return not any(blank in text for blank in OTHER_BLANKS)
 
 
+def marked_segments(text: str) -> str:
+    """The text with a mark between its segments; the text has no marks."""
+    if _single_blanks(text):
+        return text.replace("\n", f"{MARK}\n{MARK}").replace(" ", f"{MARK} ")
+    return MARK.join(segments_of(text))
+
+
 def segments_of(text: str) -> list[str]:
     """Parts whose encodings joined are the text's: cut before a single space, and around a single line break, that has
     a non-blank character on both sides. The tokenizer's word rule ends a word there whatever surrounds it, and its
     merges stay inside a word.
     """
-    if MARK not in text and _single_blanks(text):
-        return text.replace("\n", f"{MARK}\n{MARK}").replace(" ", f"{MARK} ").split(MARK)
     out: list[str] = []
     open_end = False  # the last part takes what follows
     for i, part in enumerate(text.split(" ")):
@@ -261,19 +269,42 @@ class IdEncoder:
         found = self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        segments = segments_of(text)
+    def _ids_of(self, segments: list[str]) -> list[bytes]:
+        """The ids of different segments; those that are not remembered are asked for together."""
         values = list(map(self.remembered.get, segments))
-        if None in values:
-            before = self.remembered.before
-            new = {s: before.get(s) for s, ids in zip(segments, values) if ids is None}
-            unknown = [s for s, ids in new.items() if ids is None]
-            new.update(zip(unknown, self._ask(unknown)))
-            for s, ids in new.items():
-                if len(s) <= LONGEST_REMEMBERED:
-                    self.remembered.put(s, ids)
-            values = [new[s] if ids is None else ids for s, ids in zip(segments, values)]
-        return b"".join(values)
+        missing = [i for i, ids in enumerate(values) if ids is None]
+        keys = [segments[i] for i in missing]
+        olds = list(map(self.remembered.before.get, keys))
+        asked = iter(self._ask([key for key, ids in zip(keys, olds) if ids is None]))
+        found = [next(asked) if ids is None else ids for ids in olds]
+        for i, ids in zip(missing, found):
+            values[i] = ids
+        self.remembered.put_all({key: ids for key, ids in zip(keys, found) if len(key) <= LONGEST_REMEMBERED})
+        return values
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of some texts. Each different segment is looked up once, and its ids are copied to all its places."""
+        marked = [None if MARK in text else marked_segments(text) for text in texts]
+        cut = pc.split_pattern(pa.array([text for text in marked if text is not None], pa.large_string()), MARK)
+        marked = [text is not None for text in marked]
+        coded = cut.flatten().dictionary_encode()
+        segment_ends = np.array(cut.offsets) - cut.offsets[0].as_py()
+        del cut
+        parts = self._ids_of(coded.dictionary.to_pylist())
+        all_ids = np.frombuffer(b"".join(parts), "<u4")
+        # A chunk has far fewer than 2 ** 31 ids.
+        lengths = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
+        starts = lengths.cumsum(dtype=np.int32) - lengths
+        places = coded.indices.to_numpy()
+        counts = lengths[places]
+        ends = counts.cumsum(dtype=np.int32)
+        at = np.repeat(starts[places] - (ends - counts), counts)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = all_ids[at]
+        # Where each text's ids end: at the end of its last segment.
+        text_ends = np.append(0, ends)[segment_ends]
+        found = iter([ids[start:stop].tobytes() for start, stop in zip(text_ends[:-1], text_ends[1:])])
+        return [next(found) if was_cut else self._ask([text])[0] for text, was_cut in zip(texts, marked)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -281,6 +312,17 @@ def id_encoder(path: str) -> IdEncoder:
     return IdEncoder(path)
 
 
+def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts (column 1) have about CHUNK_BYTES."""
+    ends = np.array(pc.binary_length(batch.column(1)), np.int64).cumsum()
+    start = 0
+    while start < len(ends):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def write_token_files(
     docs: DataFrame, tokenizer_file: str, folder: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -301,9 +343,9 @@ def write_token_files(
         stream, name = files.write_once(folder, f"part-{shard:06d}")
         writer = ShardWriter(stream)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for one, text in zip(keys, texts):
-                writer.add(one, own.encode(text.as_py()) + end)
+            for some in chunks(batch):
+                for one, ids in zip(some.column(0).to_pylist(), own.encode(some.column(1).to_pylist())):
+                    writer.add(one, ids + end)
         writer.close()
         yield pa.record_batch({
             "shard": pa.array([shard], pa.int64()),
