@@ -1,4 +1,5 @@
 import math
+import re
 
 import cases
 import oracle
@@ -96,3 +97,13 @@ def test_keep_good_equals_score(spark):
     scored = {row.doc_id for row in quality.score(docs).where("kept").collect()}
     good = quality.keep_good(docs)
     assert good.columns == docs.columns and {row.doc_id for row in good.collect()} == scored
+
+
+def test_wrong_language_and_no_common_words_are_far_by_words_alone(spark):
+    docs = cases.documents(spark)
+    good = {row.lang: row.text for row in docs.where("n_chars > 1500 and lang in ('en', 'de')").orderBy("doc_id", ascending=False).collect()}
+    without = " ".join(w for w in good["en"].split() if not set(re.findall(r"[^\W_]+", w.lower())) & set(quality.COMMON_WORDS["en"]))
+    more = spark.createDataFrame([(-1, good["de"], "en", "s", 1), (-2, without, "en", "s", 1), (-3, good["en"], "en", "s", 1)], cases.SCHEMA)
+    got = cases.by_id(quality.score(docs.unionByName(more)))
+    assert all(not got[i]["base_failed"] and got[i]["class_distance"] <= quality.MAX_CLASS_DISTANCE for i in (-1, -2, -3))
+    assert [got[i]["kept"] for i in (-1, -2, -3)] == [False, False, True]
