@@ -1,5 +1,6 @@
 import cases
 import pytest
+from pyspark.sql import functions as F
 
 from weatherlake.llm import language_id, queries
 
@@ -83,6 +84,29 @@ def test_empty_tables(spark, text_model):
     assert [r.lang for r in language_id.identify(spark.createDataFrame([(1, "http://a.b", "x")], PAGES), none).collect()] == [None]
 
 
+RARE = "Pohjoisen pitkät yöt ja lyhyet päivät tekevät talvesta hiljaisen, mutta keväällä järvien jää sulaa ja linnut palaavat. "
+
+
+def test_a_rare_language_is_kept(spark):
+    docs = cases.documents(spark).where("lang is not null").select("lang", F.substring("text", 1, 400).alias("text"))
+    many = docs.crossJoin(spark.range(50)).select("lang", "text")
+    n = many.count() // 2000
+    assert n
+    rare = spark.createDataFrame([("fi", f"{RARE} {i}") for i in range(n)], "lang STRING, text STRING")
+    own = language_id.fit_text_model(many.unionByName(rare))
+    assert own.languages == ["de", "en", "es", "fi", "fr"]
+    got = found(spark, [(1, "http://a.fi/", page("Keväällä linnut palaavat ja järvien jää sulaa.", "fi"))], own)
+    assert (got[1].lang, got[1].text_lang) == ("fi", "fi")
+
+
+def test_more_labels_than_the_model_holds_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 4)
+    docs = cases.documents(spark).select("lang", "text")
+    assert len(language_id.fit_text_model(docs).languages) == 4
+    with pytest.raises(ValueError, match="more than 4"):
+        language_id.fit_text_model(docs.unionByName(spark.createDataFrame([("fi", RARE)], docs.schema)))
+
+
 def test_visible_text():
     source = '<html><head><style>p{}</style></head><nav>menu</nav><p>A&amp;B <b>c</b></p><script>var t="</p>";</script><!-- x --></html>'
     assert language_id.visible_text(source).split() == ["A&B", "c"]

@@ -21,13 +21,12 @@ from pyspark.sql import functions as F
 
 from weatherlake.llm.common import stored
 
-# Runs of GRAM bytes are counted in this many buckets. With MAX_LANGUAGES this bounds the model: 64 MB.
+# Runs of GRAM bytes are counted in this many buckets. With MAX_LANGUAGES this bounds the model: 64 MB. More labels than
+# that are an error; none is left out.
 GRAM = 4
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 MAX_LANGUAGES = 1000
-# A label is a language if it is on more than this share of the documents, so there are fewer than MAX_LANGUAGES.
-MIN_SHARE = 1 / MAX_LANGUAGES
 # Runs overlap, so each counts for a part of the evidence, and no text for more than this many runs.
 RUN_WEIGHT = 1 / GRAM
 MAX_RUNS = 400
@@ -100,13 +99,14 @@ class TextModel:
 def fit_text_model(docs: DataFrame, lang_column: str = "lang", text_column: str = "text") -> TextModel:
     """Counts the byte runs of all labelled documents by language.
 
-    Each task adds up its own counts, and Spark adds those of the tasks. The model has at most MAX_LANGUAGES rows.
+    Each task adds up its own counts, and Spark adds those of the tasks. Every label is a language, however rare; the
+    model has a row for each, and more than MAX_LANGUAGES raise an error.
     """
     label = F.col(f"`{lang_column}`")
-    by_label = docs.where(label.isNotNull()).groupBy(label.alias("lang")).count().where(
-        F.col("count") > docs.count() * MIN_SHARE
-    )
-    languages = sorted(row.lang for row in by_label.collect())
+    labels = docs.where(label.isNotNull()).select(label.alias("lang")).distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(labels) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_column} has more than {MAX_LANGUAGES} different labels, the most that the text model holds")
+    languages = sorted(row.lang for row in labels)
     place = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
