@@ -101,3 +101,16 @@ def test_files_of_failed_attempts_are_not_read(spark, library):
     with files.write_once(folder, "part-000000")[0] as stream:
         stream.write(b"half a file")
     check(docs, token_files.read_token_files(manifest, folder), library)
+
+
+def test_special_tokens_have_their_ids(spark):
+    plain = Tokenizer.from_file(tokenizer_path(BYTE_TOKENIZER))
+    library = lambda text: plain.encode(text or "", add_special_tokens=False).ids
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"a{end}b", f"{end}\n{end}", f" {end}  {end}\t{end} ", f"one\n{end} two\n\n{end}\n", f"\0{end} x", end[:-1], None]
+    rng = random.Random(6)
+    parts = [end, end, "a", "b's", " ", "  ", "\n", "\t", "\x00", "the", "é", "\xa0", "<|", "|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 20))) for _ in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert 50256 in library(texts[1])
+    check(docs, token_files.token_files(spark, docs, tokenizer_path(BYTE_TOKENIZER)), library)

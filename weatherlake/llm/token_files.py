@@ -255,14 +255,17 @@ def segments_of(text: str) -> list[str]:
 
 
 class IdEncoder:
-    """Token ids of texts as bytes, by the tokenizers library, which is asked once for each frequent segment."""
+    """Token ids of texts as bytes, by the tokenizers library, which is asked once for each frequent segment.
 
-    def __init__(self, path: str):
+    The text of a special token is ordinary text or, without `special_as_text`, that token, as by the library's default.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker a core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.remembered = Recent(None, REMEMBERED)
 
     def _ask(self, segments: list[str]) -> list[bytes]:
@@ -308,8 +311,8 @@ class IdEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def id_encoder(path: str) -> IdEncoder:
-    return IdEncoder(path)
+def id_encoder(path: str, special_as_text: bool = True) -> IdEncoder:
+    return IdEncoder(path, special_as_text)
 
 
 def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -324,20 +327,26 @@ def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer_file: str, folder: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    tokenizer_file: str,
+    folder: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Writes all documents in ascending id order and returns the manifest: shard, file, n_docs, n_tokens, start.
 
     `start` is the number of ids in the shards before. Shards are id ranges, as many as Spark makes partitions for the
     data's size. Null text counts as empty and has the end id only; a null id comes first; rows that repeat an id stand
-    next to each other in the order of their texts. An empty table gives an empty manifest or a shard without documents.
+    next to each other in the order of their texts. The text of a special token is that token unless `special_as_text`
+    is set. An empty table gives an empty manifest or a shard without documents.
     """
     key = F.col(f"`{id_column}`").cast("long")
     inputs = docs.select(key.alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
     ordered = inputs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.md5("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = id_encoder(tokenizer_file)
+        own = id_encoder(tokenizer_file, special_as_text)
         end = np.array([END_ID], "<u4").tobytes()
         shard = TaskContext.get().partitionId()
         stream, name = files.write_once(folder, f"part-{shard:06d}")
@@ -380,7 +389,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     return shards.mapInArrow(run, "doc_id LONG, start LONG, n_tokens LONG, ids_crc32 LONG, shard LONG")
 
 
-def token_files(spark: SparkSession, docs: DataFrame, tokenizer_file: str, **columns: str) -> DataFrame:
+def token_files(spark: SparkSession, docs: DataFrame, tokenizer_file: str, **options: str | bool) -> DataFrame:
     """Writes the documents to a folder of their own under the shared scratch folder and reads the files back."""
     folder = scratch_path(spark, "token-files")
-    return read_token_files(write_token_files(docs, tokenizer_file, folder, **columns), folder)
+    return read_token_files(write_token_files(docs, tokenizer_file, folder, **options), folder)
