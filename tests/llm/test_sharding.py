@@ -62,3 +62,11 @@ def test_fewer_shards_empty_the_last(spark):
 def test_no_shards_are_refused(spark):
     with pytest.raises(ValueError):
         assigned(spark, cases.empty(spark), 0)
+
+
+def test_rows_that_share_an_id_or_have_none_are_spread(spark):
+    rows = [(None if i % 3 else 7, f"{i} {cases.PROSE}", "en", "s", 1) for i in range(2000)]
+    records, totals, slot_map = assigned(spark, spark.createDataFrame(rows, cases.SCHEMA), 5, 512)
+    got = sharding.assign(records, totals, slot_map).groupBy("shard").sum("size").collect()
+    sizes = [row[1] for row in got]
+    assert len(sizes) == 5 and max(sizes) < 1.1 * min(sizes)

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from weatherlake.llm import queries, token_files
 from weatherlake.llm.queries import BYTE_TOKENIZER, tokenizer_path
+from weatherlake.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +115,17 @@ def test_special_tokens_have_their_ids(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
     assert 50256 in library(texts[1])
     check(docs, token_files.token_files(spark, docs, tokenizer_path(BYTE_TOKENIZER)), library)
+
+
+def test_rows_that_share_an_id_or_have_none_are_split(spark, library):
+    rows = [(None if i % 3 else 7, f"{i} {cases.PROSE}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        folder = scratch_path(spark, "shared-ids")
+        manifest = token_files.write_token_files(docs, tokenizer_path(BYTE_TOKENIZER), folder)
+        assert max(row.n_docs for row in manifest.collect()) < 150
+        check(docs, token_files.read_token_files(manifest, folder), library)
+    finally:
+        spark.conf.unset(setting)

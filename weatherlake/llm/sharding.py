@@ -10,8 +10,9 @@ SLOTS = 8192
 ROW_BYTES = 16
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def slot_of(key: Column, text: Column, slots: int = SLOTS) -> Column:
+    """The slot by id and text, so that rows without an id or with one id are spread, if their texts differ."""
+    return F.pmod(F.xxhash64(key, text), F.lit(slots)).cast("int")
 
 
 def slot_totals(records: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def records_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         key.alias("doc_id"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        slot_of(key, slots).alias("vslot"),
+        slot_of(key, text, slots).alias("vslot"),
     )
 
 

@@ -336,14 +336,14 @@ def write_token_files(
 ) -> DataFrame:
     """Writes all documents in ascending id order and returns the manifest: shard, file, n_docs, n_tokens, start.
 
-    `start` is the number of ids in the shards before. Shards are id ranges, as many as Spark makes partitions for the
-    data's size. Null text counts as empty and has the end id only; a null id comes first; rows that repeat an id stand
+    `start` is the number of ids in the shards before. Shards are ranges of ids and of the texts' digests, as many as Spark makes
+    partitions for the data's size, so rows without an id or with one id are split too, if their texts differ. Null text counts as empty and has the end id only; a null id comes first; rows that repeat an id stand
     next to each other in the order of their texts. The text of a special token is that token unless `special_as_text`
     is set. An empty table gives an empty manifest or a shard without documents.
     """
     key = F.col(f"`{id_column}`").cast("long")
     inputs = docs.select(key.alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
-    ordered = inputs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.md5("text"))
+    ordered = inputs.repartitionByRange("doc_id", F.md5("text")).sortWithinPartitions("doc_id", F.md5("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = id_encoder(tokenizer_file, special_as_text)
