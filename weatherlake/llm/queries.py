@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherlake.llm import exact_dedup, language_id, mixing, near_dedup, ngram_model, piece_bpe, quality, sharding, sql, surrogates, token_files
+from weatherlake.llm import (
+    alignment, exact_dedup, language_id, mixing, near_dedup, ngram_model, piece_bpe, quality, secret_scan, sharding, source_audit, sql, surrogates, token_files,
+)
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
@@ -89,7 +91,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_versions(documents(spark, sf_dir), scratch_path(spark, "secret-ledger"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op6_language_id, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing)
+    query.__name__: query for query in (op1_quality_rules, op2_token_files, op3_sentencepiece, op4_surrogates, op5_sharding, op6_language_id, op7_exact_dedup, op8_ngram_model, op9_minhash, op10_mixing, op11_secret_scan, op12_alignment, op13_source_audit)
 }
-SQL: dict[str, str] = {"op1_quality_rules": sql.QUALITY, "op7_exact_dedup": sql.EXACT_DEDUP}
+SQL: dict[str, str] = {"op1_quality_rules": sql.QUALITY, "op7_exact_dedup": sql.EXACT_DEDUP, "op11_secret_scan": sql.SECRETS, "op13_source_audit": sql.SOURCE_AUDIT}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from weatherlake.llm import quality
+from weatherlake.llm import quality, secret_scan
 
 EXACT_DEDUP = f"""
 WITH texts AS (
@@ -91,3 +91,54 @@ SELECT *, NOT base_failed AND NOT (coalesce(class_distance > {quality.MAX_CLASS_
        OR coalesce(word_distance > {quality.MAX_WORD_DISTANCE}, false)) AS kept
 FROM judged
 """
+
+SOURCE_AUDIT = r"""WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+terms AS (
+  SELECT rid, lang, source,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM terms JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total FROM grp LEFT JOIN cells USING (lang, source) GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+    1 + 1000000000 * (k.n + 1) // (l.total + l.v) AS q
+  FROM totals g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+    LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM both_parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 200"""
+
+
+def _spans(place: int, rule: secret_scan.Rule) -> str:
+    """rid, place, kind, start, stop of a rule's matches: the lengths of the parts between matches and of the matches add up."""
+    pattern = _quoted(rule.pattern)
+    return f"""SELECT rid, {place} AS place, '{rule.kind}' AS kind, start, start + length(match) AS stop FROM (
+    SELECT rid, match, sum(length(part) + length(match)) OVER (PARTITION BY rid ORDER BY i) - length(match) AS start
+    FROM (SELECT rid, unnest(range(1, len(matches) + 1)) AS i, unnest(matches) AS match, unnest(parts[1:len(matches)]) AS part
+      FROM (SELECT rid, regexp_extract_all(text, {pattern}) AS matches, string_split_regex(text, {pattern}) AS parts FROM docs)))
+  WHERE length(regexp_extract(match, {pattern}, {rule.group})) >= {rule.least}"""
+
+
+_BASE = len(secret_scan.BASE)
+_written = "coalesce(string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, place){}, '')"
+SECRETS = f"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_spans(i, rule) for i, rule in enumerate(secret_scan.RULES))})
+SELECT doc_id, sha256(any_value(text)) AS blob,
+  {", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in secret_scan.RULES)},
+  sha256({_written.format(f" FILTER (place < {_BASE})")}) AS base_sha256, {_written.format("")} AS spans
+FROM docs LEFT JOIN spans USING (rid) GROUP BY rid, doc_id"""

@@ -315,13 +315,13 @@ def id_encoder(path: str, special_as_text: bool = True) -> IdEncoder:
     return IdEncoder(path, special_as_text)
 
 
-def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts (column 1) have about CHUNK_BYTES."""
+def chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts (column 1) have about `limit` bytes."""
     ends = np.array(pc.binary_length(batch.column(1)), np.int64).cumsum()
     start = 0
     while start < len(ends):
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
