@@ -2,11 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from samples import drop, payload, second_dialect
 
 from weatherlake.operators import alerts, reshape
-from weatherlake.operators.rules import BASIC, EXTREME, MONITORED, rule_frame
+from weatherlake.operators.rules import BASIC, EXTREME, MONITORED, Rule, all_profiles, rule_frame
 from weatherlake.sources import messages, raw, tables
 
 READING = "city STRING, timestamp STRING, temperature DOUBLE, precipitation DOUBLE, windspeed DOUBLE"
@@ -75,7 +76,7 @@ def test_current_and_forecast(spark, tmp_path):
     assert messages_of["forecast_precipitation"] == (
         "Prévision de fortes précipitations à Lyon pour 2025-09-24T10:00: 26.0mm"
     )
-    union = alerts.all_alerts(current, forecast)
+    union = current.unionByName(forecast, allowMissingColumns=True)
     columns = sorted(union.columns)
     together = alerts.detect(alerts.all_readings(df), MONITORED)
     assert sorted(map(str, union.select(columns).collect())) == sorted(map(str, together.select(columns).collect()))
@@ -152,3 +153,45 @@ def test_raising_a_threshold_never_adds_alerts(spark):
     basic, extreme = alerts.detect(rows, MONITORED), alerts.detect(rows, EXTREME)
     assert extreme.count() < basic.count()
     assert extreme.select("alert_type", "value").subtract(basic.select("alert_type", "value")).isEmpty()
+
+
+def sorted_rows(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("few", [100, 3])
+@pytest.mark.parametrize("rules", [BASIC, MONITORED, EXTREME])
+def test_a_rule_table_gives_what_the_rules_do(spark, tmp_path, few, rules):
+    """Broadcast, and dealt over parts."""
+    df = unified(spark, tmp_path, second_dialect(), payload(), second_dialect("{value}", temperature_2m=41.5, precipitation=None))
+    readings = alerts.all_readings(df)
+    found = alerts.detect_by_table(readings, rule_frame(spark, rules), few=few, parts=3)
+    assert sorted_rows(found) == sorted_rows(alerts.detect(readings, rules)) and found.count()
+    assert found.columns == alerts.detect(readings, rules).columns
+    current = alerts.current_readings(df)
+    assert sorted_rows(alerts.detect_by_table(current, rule_frame(spark, rules), few=few)) == sorted_rows(alerts.detect(current, rules))
+
+
+def test_more_rules_than_are_broadcast(spark, tmp_path):
+    many = [Rule("many", f"t{i}", "temperature", "above" if i % 2 else "below", float(i - 50), "{city} {value} {threshold} {other}") for i in range(200)]
+    df = unified(spark, tmp_path, payload())
+    found = alerts.detect_by_table(alerts.current_readings(df), rule_frame(spark, many), few=50)
+    assert "part#" in found._jdf.queryExecution().executedPlan().toString()
+    value = payload()["current_weather"]["temperature"]
+    hits = [r for r in many if (value > r.threshold if r.direction == "above" else value < r.threshold)]
+    assert {r.message for r in found.collect()} == {f"Paris {value} {r.threshold} {{other}}" for r in hits} and hits
+
+
+def test_empty_and_disabled_rule_tables_give_no_alerts(spark, tmp_path):
+    readings = alerts.current_readings(unified(spark, tmp_path, second_dialect()))
+    assert alerts.detect_by_table(readings, rule_frame(spark, [])).count() == 0
+    assert alerts.detect_by_table(readings, all_profiles(spark).withColumn("enabled", F.lit(False))).count() == 0
+
+
+def test_rule_table_is_stored_by_version(spark, tmp_path):
+    path = str(tmp_path / "rules")
+    assert tables.read_rules(spark, path).count() == 0
+    assert tables.publish_rules(all_profiles(spark), path) == 1
+    assert tables.publish_rules(rule_frame(spark, BASIC), path) == 2
+    assert (tables.read_rules(spark, path).count(), tables.read_rules(spark, path, version=1).count()) == (4, 12)
+    assert tables.read_rules(spark, path, "monitored", 1).count() == 4

@@ -1,12 +1,13 @@
 """The jobs from files to files."""
 
 import json
+from datetime import datetime
 
 from samples import drop, payload, second_dialect
 
 from weatherlake import __main__ as cli
 from weatherlake.plans import jobs
-from weatherlake.sources import tables
+from weatherlake.sources import reports, tables
 from weatherlake.streaming import connect
 
 
@@ -127,6 +128,62 @@ def test_publish_then_alert_stream(spark, tmp_path):
     assert alert["coordinates"] == {"latitude": 48.85, "longitude": 2.35}
 
 
+def test_publishing_again_replaces_the_days_messages(spark, tmp_path):
+    channel = connect.Channel(path=str(tmp_path / "weather"))
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [payload(), payload("Tokyo")])
+    drop(tmp_path / "raw", "weather_20250925_090000.json", [payload()])
+    for day in ("2025-09-24", "2025-09-25", "2025-09-24"):
+        jobs.run_publish(spark, day, str(tmp_path / "raw"), channel)
+    assert spark.read.json(channel.path).count() == 3 + 2
+
+
+def test_publishing_without_data_writes_nothing(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    jobs.run_publish(spark, "2025-09-24", str(tmp_path / "raw"), connect.Channel(path=str(tmp_path / "weather")))
+    drop(tmp_path / "raw", "weather_20250925_090000.json", '[{"city": "To')
+    jobs.run_publish(spark, "2025-09-25", str(tmp_path / "raw"), connect.Channel(path=str(tmp_path / "weather")))
+    assert not (tmp_path / "weather").exists()
+
+
+def test_snapshots_without_a_good_record_leave_no_old_figures(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for day in ("20250924", "20250925"):
+        drop(tmp_path / "raw", f"weather_{day}_090000.json", [payload()])
+        jobs.run_snapshot_stats(spark, day, str(tmp_path / "raw"), out)
+    drop(tmp_path / "raw", "weather_20250924_090000.json", '[{"city": "To')
+    assert jobs.run_snapshot_stats(spark, "2025-09-24", str(tmp_path / "raw"), out) is None
+    left = spark.read.parquet(f"{out}/daily_weather_stats")
+    assert {str(r.date) for r in left.collect()} == {"2025-09-25"}
+
+
+def test_analysis_replaces_its_tables(spark, tmp_path):
+    for n, day in ((1, "20250901"), (2, "20250924")):
+        drop(tmp_path / "raw", f"weather_{day}_090000.json", [payload(f"City {i}") for i in range(n)])
+    for end, n in (("2025-09-01", 1), ("2025-09-24", 2)):
+        jobs.run_analysis(spark, end, str(tmp_path / "raw"), str(tmp_path / "out"), tables_prefix="analysis_")
+        assert spark.table("analysis_temperature_by_city").count() == n
+        assert {str(r.date) for r in spark.table("analysis_temperature").collect()} == {f"{end}"}
+
+
+def test_notification(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    assert jobs.run_notification(spark, "2025-09-23", str(tmp_path / "raw"), str(tmp_path / "out")).first().message == reports.NO_DATA
+    drop(tmp_path / "raw", "weather_20250924_090000.json", [payload()])
+    jobs.run_notification(spark, "2025-09-24", str(tmp_path / "raw"), str(tmp_path / "out"), datetime(2025, 9, 24, 12))
+    text = next((tmp_path / "out/notification_2025-09-24").glob("part-*")).read_text("utf-8")
+    assert "24/09/2025 12:00" in text and "17.6" in text
+
+
+def test_upkeep_jobs(spark, tmp_path):
+    path = str(tmp_path / "data")
+    rows = spark.range(9).selectExpr("id % 3 AS station", "id AS value", "date_add(DATE '2024-01-01', CAST(id DIV 3 AS INT)) AS obs_date")
+    rows.write.partitionBy("obs_date").parquet(path)
+    (tmp_path / "ids.csv").write_text("station\n2\n")
+    cli.main(["retain", "--path", path, "--date", "2024-01-03", "--days", "1"])
+    cli.main(["erase", "--path", path, "--ids", str(tmp_path / "ids.csv"), "--key", "station"])
+    assert sorted(r.value for r in spark.read.parquet(path).collect()) == [3, 4, 6, 7]
+
+
 def test_command_line():
     options = cli.parse(["daily", "--date", "2025-09-24", "--input-path", "/in", "--output-path", "/out"])
     assert (options.job, options.period, options.input_path) == ("daily", "2025-09-24", "/in")

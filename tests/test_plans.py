@@ -14,7 +14,8 @@ from weatherlake.sources import daily, tables
 
 SF_DIR = str(oracle.TESTDATA / "sf0.001")
 WRITERS = {"raw_scan", "raw_range_scan", "landed_scan", "landed_range_scan", "corrupt_split", "month_scan", "parquet_roundtrip", "csv_roundtrip",
-           "json_roundtrip", "alerts_table", "stream_current", "stream_alerts", "stream_throughput"}
+           "json_roundtrip", "alerts_table", "stream_current", "stream_alerts", "stream_throughput", "stream_windows", "stream_rule_alerts", "stream_groups", "replaced_table",
+           "retention_stored", "erasure_stored"}
 
 
 def plan(df):

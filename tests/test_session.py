@@ -2,15 +2,17 @@
 
 from pathlib import Path
 
+import pytest
+
 from weatherlake.session import clear_scratch, literal_frame, scratch_path
 
 
 class Session:
     """What scratch_path uses of a session."""
 
-    def __init__(self, **conf):
-        self.conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse", **conf}
-        self.sparkContext = type("Context", (), {"applicationId": "app-1"})
+    def __init__(self, master="local[2]", **conf):
+        self.conf = {"spark.sql.warehouse.dir": "/work/warehouse", **conf}
+        self.sparkContext = type("Context", (), {"applicationId": "app-1", "master": master})
 
 
 def test_scratch_is_under_the_shared_folder_and_new_each_time():
@@ -19,8 +21,15 @@ def test_scratch_is_under_the_shared_folder_and_new_each_time():
     assert first.startswith("hdfs://shared/scratch/weatherlake/app-1/x-") and first != second
 
 
-def test_without_a_checkpoint_folder_scratch_is_in_the_warehouse():
-    assert scratch_path(Session(), "x").startswith("hdfs://shared/warehouse/weatherlake/app-1/x-")
+def test_a_local_session_without_a_checkpoint_folder_uses_its_warehouse():
+    for master in ("local", "local[*]", "local[4,2]"):
+        assert scratch_path(Session(master), "x").startswith("/work/warehouse/weatherlake/app-1/x-")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_path(Session(master), "x")
 
 
 def test_clear_scratch_removes_what_was_written(spark):

@@ -76,9 +76,9 @@ def test_sum_of_nulls_is_zero(spark):
 
 
 def test_number_texts(spark):
-    numbers_in = [35.0, -0.5, 0.00015, 12345678.0, 0.001, None]
+    numbers_in = [35.0, -0.5, 0.00015, 12345678.0, 0.001, None, 1e-05, -1.5e-07, 1e16, 1.25e100, -3e-200, 0.0]
     df = spark.createDataFrame([(n,) for n in numbers_in], "x DOUBLE")
-    assert values(df, numbers.number_text(F.col("x"))) == ["35.0", "-0.5", "0.00015", "12345678.0", "0.001", None]
+    assert values(df, numbers.number_text(F.col("x"))) == [None if x is None else repr(x) for x in numbers_in]
     assert values(df.limit(1), text.fill("{a} of {b}", a=F.lit("x"), b=F.col("x").cast("string"))) == ["x of 35.0"]
 
 

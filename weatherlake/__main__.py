@@ -9,7 +9,7 @@ from weatherlake.session import get_session
 from weatherlake.streaming.connect import ALERT_TOPIC, BUNDLE_TOPIC, PROCESSED_TOPIC, WEATHER_TOPIC, Channel
 
 DAY_JOBS = {"daily": jobs.run_daily, "snapshots": jobs.run_snapshot_stats, "alerts": jobs.run_alerts,
-            "analysis": jobs.run_analysis}
+            "analysis": jobs.run_analysis, "notify": jobs.run_notification}
 MONTH_JOBS = {"monthly": jobs.run_monthly, "report": jobs.run_monthly_report}
 
 
@@ -29,6 +29,16 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     publish.add_argument("--input-path", required=True)
     publish.add_argument("--topic", default=WEATHER_TOPIC)
     _channel(publish, "")
+    retain = commands.add_parser("retain", help="delete day folders that are too old")
+    retain.add_argument("--path", required=True)
+    retain.add_argument("--date", dest="period", required=True)
+    retain.add_argument("--days", type=int, required=True)
+    retain.add_argument("--day-column", default="obs_date")
+    erase = commands.add_parser("erase", help="remove the rows of listed identifiers")
+    erase.add_argument("--path", required=True)
+    erase.add_argument("--ids", required=True, help="CSV file with a header that has the key")
+    erase.add_argument("--key", required=True)
+    erase.add_argument("--day-column", default="obs_date")
     for name, sink in (("alert-stream", ALERT_TOPIC), ("processed-stream", PROCESSED_TOPIC)):
         stream = commands.add_parser(name)
         stream.add_argument("--servers")
@@ -57,6 +67,10 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.job == "publish":
         channel = _place(options.topic, options.servers, options.path)
         jobs.run_publish(spark, options.period, options.input_path, channel)
+    elif options.job == "retain":
+        jobs.run_retention(spark, options.path, options.period, options.days, options.day_column)
+    elif options.job == "erase":
+        jobs.run_erasure(spark, options.path, options.ids, options.key, day=options.day_column)
     elif options.job == "alerts" and options.servers:
         channel = Channel(topic=options.topic, servers=options.servers)
         jobs.run_alerts(spark, options.period, options.input_path, options.output_path, channel=channel)

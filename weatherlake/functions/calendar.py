@@ -44,6 +44,11 @@ def hour_text(time: Column) -> Column:
     return F.right(time, F.lit(5))
 
 
+def date_hour(day: Column, hour: Column) -> Column:
+    """Timestamp of a date and HH:MM on it; null if the hour is none. Hours of later forecast days fall on the one date."""
+    return F.concat_ws(" ", day.cast("string"), hour).try_cast("timestamp_ntz")
+
+
 def iso_minute(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm")
 

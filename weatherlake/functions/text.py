@@ -21,6 +21,19 @@ def fill(template: str, **columns: Column) -> Column:
     return F.concat(*pieces)
 
 
+def fill_column(template: Column, **columns: Column) -> Column:
+    """The same with a column of templates; a name without a column stays as it is."""
+    parts = F.split(template, r"(?=\{\w+\})|(?<=\})")
+
+    def piece(part: Column) -> Column:
+        chosen = F
+        for name, column in columns.items():
+            chosen = chosen.when(part == f"{{{name}}}", column)
+        return chosen.otherwise(part)
+
+    return F.array_join(F.transform(parts, piece), "")
+
+
 def display_name(code: Column) -> Column:
     """heavy_rain -> Heavy Rain"""
     return F.initcap(F.replace(code, F.lit("_"), F.lit(" ")))

@@ -18,13 +18,16 @@ from pyspark.sql import types as T
 from weatherlake.functions.arrays import zip_shortest
 from weatherlake.functions.calendar import as_date
 from weatherlake.functions.numbers import number_text
-from weatherlake.functions.text import city_or_unknown, display_name, fill
+from weatherlake.functions.text import city_or_unknown, display_name, fill, fill_column
 from weatherlake.operators.filters import in_days, order_rows, with_hourly
 from weatherlake.operators.rules import Rule
 
 METRICS = ("temperature", "precipitation", "windspeed")
 HOURLY_FIELDS = ("time", *METRICS)
 ALERT_FIELDS = ("alert_type", "value", "threshold", "message")
+# Rules of a table that are sent to all executors, and the parts that readings are dealt over if there are more.
+FEW_RULES = 10_000
+PARTS = 64
 
 
 def is_hit(rule: Rule, value: Column) -> Column:
@@ -115,6 +118,41 @@ def detect(readings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def detect_by_table(readings: DataFrame, rules: DataFrame, few: int = FEW_RULES, parts: int = PARTS) -> DataFrame:
+    """The rows of `detect` for rules that are rows of a table (columns of `RULE_SCHEMA`) instead of part of the plan.
+
+    The metrics become rows, which meet the rules of their metric; the direction decides which side of the threshold is a
+    hit. The rules are counted first: up to `few` are sent to all executors; more than that are copied to `parts` parts,
+    over which the readings are dealt, as there are only a few metrics to join by. A reading's metric has as many alerts
+    as rules that it breaks. In a stream this is for micro-batches, as the count is a job of its own.
+    """
+    metrics = [m for m in METRICS if m in readings.columns]
+    kept = [c for c in readings.columns if c not in METRICS]
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
+    values = readings.select(*kept, F.inline(values)).where(F.col("value").isNotNull())
+    active = rules.where(F.col("enabled") & F.col("metric").isin(*metrics)).select("metric", F.struct("*").alias("rule"))
+    rule, value = F.col("rule"), F.col("value")
+    hit = F.when(rule["direction"] == "above", value > rule["threshold"]).otherwise(value < rule["threshold"])
+    time = F.col("forecast_time") if "forecast_time" in kept else F.lit(None).cast("string")
+    applies = hit & (time.isNull() | rule["forecast_message"].isNotNull())
+    if active.count() <= few:
+        hits = values.alias("v").join(F.broadcast(active.alias("r")), (F.col("v.metric") == F.col("r.metric")) & applies)
+    else:
+        dealt = values.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
+        copied = active.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        same = (F.col("v.metric") == F.col("r.metric")) & (F.col("v.part") == F.col("r.part"))
+        hits = dealt.alias("v").join(copied.alias("r"), same & applies)
+    text = F.when(time.isNull(), rule["message"]).otherwise(rule["forecast_message"])
+    texts = {"city": F.col("city"), "value": number_text(value), "threshold": number_text(rule["threshold"]), "time": time}
+    return hits.select(
+        *[F.col(f"v.{name}") for name in kept],
+        F.concat(F.when(time.isNull(), "").otherwise("forecast_"), rule["type"]).alias("alert_type"),
+        "value",
+        rule["threshold"].alias("threshold"),
+        fill_column(text, **texts).alias("message"),
+    )
+
+
 def current_readings(payloads: DataFrame) -> DataFrame:
     """Current values of unified payloads as readings."""
     return payloads.select(
@@ -146,11 +184,6 @@ def _has_hourly() -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"hourly.{field}").isNotNull() for field in HOURLY_FIELDS])
 
 
-def all_alerts(current: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Union of current and forecast alerts; a column that one side lacks is null there."""
-    return current.unionByName(forecast, allowMissingColumns=True)
-
-
 def _may_hit(rules: Sequence[Rule]) -> Column:
     """Whether a payload's extremes break a rule: compiled tests that spare most payloads the array functions."""
     tests = [F.lit(False)]

@@ -61,12 +61,17 @@ EXTREME = [
 PROFILES = {"basic": BASIC, "monitored": MONITORED, "extreme": EXTREME}
 
 RULE_SCHEMA = (
-    "profile STRING, type STRING, metric STRING, direction STRING, threshold DOUBLE, "
-    "priority_threshold DOUBLE, enabled BOOLEAN"
+    "profile STRING, type STRING, metric STRING, direction STRING, threshold DOUBLE, priority_threshold DOUBLE, "
+    "message STRING, forecast_message STRING, enabled BOOLEAN"
 )
 
 
 def rule_frame(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    """The rules as a table, to be kept beside the alerts they made."""
-    rows = [(r.profile, r.type, r.metric, r.direction, r.threshold, r.priority_threshold, r.enabled) for r in rules]
-    return literal_frame(spark, rows, RULE_SCHEMA)
+    """The rules as a table, which can be stored, edited and given to `alerts.detect_by_table`."""
+    names = [part.split()[0] for part in RULE_SCHEMA.split(", ")]
+    return literal_frame(spark, [tuple(getattr(rule, name) for name in names) for rule in rules], RULE_SCHEMA)
+
+
+def all_profiles(spark: SparkSession) -> DataFrame:
+    """The rules of all profiles as one table."""
+    return rule_frame(spark, [rule for rules in PROFILES.values() for rule in rules])

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from weatherlake.operators import alerts, reshape
 from weatherlake.operators.lookup import WORLD_CITIES, city_frame, city_lookup
-from weatherlake.operators.rules import BASIC, EXTREME, MONITORED, Rule
+from weatherlake.operators.rules import BASIC, EXTREME, MONITORED, Rule, all_profiles
 from weatherlake.plans.bindings import CITY_TABLE, HOURLY, OBS, obs, payloads
 from weatherlake.plans.catalog import query, stamp
+from weatherlake.session import scratch_path
 from weatherlake.sources import messages as msg
+from weatherlake.sources import tables
 
 ALERT_DAY = "2024-01-15"
 
@@ -92,6 +94,15 @@ def alerts_all(spark, sf_dir):
     return alerts.detect(alerts.all_readings(unified(spark, sf_dir)), MONITORED)
 
 
+@query("alerts_rule_table", f"""WITH {NESTED}
+SELECT {ALERT} FROM current_alerts UNION ALL SELECT {ALERT} FROM forecast_alerts""")
+def alerts_rule_table(spark, sf_dir):
+    """The rules come from a stored table that holds all profiles."""
+    path = scratch_path(spark, "rules")
+    tables.publish_rules(all_profiles(spark), path)
+    return alerts.detect_by_table(alerts.all_readings(unified(spark, sf_dir)), tables.read_rules(spark, path, "monitored"))
+
+
 @query("alert_bundle", f"""WITH {NESTED}, both_kinds AS (
   SELECT * FROM current_alerts UNION ALL SELECT * FROM forecast_alerts)
 SELECT city, timestamp, CAST(to_json(list(struct_pack(alert_type := alert_type, value := value, threshold := threshold,

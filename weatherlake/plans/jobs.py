@@ -8,10 +8,12 @@ the re-run of its tasks only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from weatherlake import schemas
@@ -20,7 +22,8 @@ from weatherlake.operators import alerts, lookup, reshape, stats, wind
 from weatherlake.operators.filters import in_month
 from weatherlake.operators.lookup import WORLD_CITIES
 from weatherlake.operators.rules import BASIC, MONITORED, Rule
-from weatherlake.sources import daily, messages, raw, reports, tables
+from weatherlake.sources import daily, messages, raw, reports, tables, upkeep
+from weatherlake.sources.versions import publish_version, version_path
 from weatherlake.streaming import connect, weather
 
 
@@ -65,12 +68,17 @@ def run_monthly(spark: SparkSession, month: str, input_path: str, output_path: s
 def run_snapshot_stats(spark: SparkSession, day: str, input_path: str, output_path: str) -> DataFrame | None:
     """One day's snapshot figures into the daily data set, beside the other days; gives its profile.
 
-    None and no output without data.
+    None and no output without data. Snapshots without one good record leave the day without figures, also those of an
+    earlier run.
     """
-    good, _ = raw.split_corrupt(raw.read_raw(spark, input_path, day))
+    snapshots = raw.read_raw(spark, input_path, day)
+    path = f"{output_path}/daily_weather_stats"
+    if snapshots.isEmpty():
+        return None
+    good, _ = raw.split_corrupt(snapshots)
     if good.isEmpty():
+        upkeep.drop_day(spark, path, day, "date")
         return None
-    path = f"{output_path}/daily_weather_stats"
     daily.write_daily(reshape.snapshot_stats(good), path, "date")
     written = daily.read_daily(spark, path, schema=schemas.SNAPSHOT_STATS)
     return stats.dataset_profile(written.where(F.col("date") == F.lit(as_date(day))), "date")
@@ -94,19 +102,24 @@ def run_monthly_report(spark: SparkSession, month: str, input_path: str, output_
 
 def run_analysis(
     spark: SparkSession, end: str | date, input_path: str, output_path: str, days: int = 7,
-    cities: Sequence[str] = tuple(city for city, *_ in WORLD_CITIES), top: int = 5,
+    cities: Sequence[str] = tuple(city for city, *_ in WORLD_CITIES), top: int = 5, tables_prefix: str | None = "weather_",
 ) -> dict[str, DataFrame]:
-    """The last days' hourly tables and the figures made from them, each written on its own.
+    """The last days' hourly tables and the figures made from them, each replaced on its own.
 
-    The pivots have a column for each of `cities`; the series are those of the `top` warmest cities.
+    The pivots have a column for each of `cities`; the series are those of the `top` warmest cities. Each table is a name
+    in the session's catalog, with the prefix, that always shows one whole run; without a prefix it is a folder only.
     """
     good = _parsed(spark, raw.read_raw_range(spark, input_path, end, days), output_path, end, days)
     if good is None:
         return {}
 
     def saved(name: str, df: DataFrame) -> DataFrame:
-        daily.write_parquet(df, f"{output_path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{output_path}/{name}")
+        path = f"{output_path}/{name}"
+        if tables_prefix is None:
+            version = publish_version(df, path)
+        else:
+            version = tables.replace_table(df, f"{tables_prefix}{name}", path)
+        return spark.read.schema(df.schema).parquet(version_path(path, version))
 
     temperature = saved("temperature", reshape.hourly_temperature(good))
     precipitation = saved("precipitation", reshape.hourly_precipitation(good))
@@ -161,12 +174,28 @@ def run_alerts(
 def run_publish(
     spark: SparkSession, day: str, input_path: str, channel: connect.Channel, now: datetime | None = None
 ) -> None:
-    """Publishes one day's payloads as city messages, and the statistics message on them."""
+    """Publishes one day's payloads as city messages, and the statistics message on them; nothing without data.
+
+    In a folder of messages a run for the same day replaces its messages; a topic gets them again.
+    """
     stamp = F.lit((now or datetime.now()).isoformat())
     good, _ = raw.split_corrupt(raw.read_raw(spark, input_path, day))
+    summary = stats.temperature_summary(reshape.current_flat(good)).where(F.col("avg_temp").isNotNull())
+    envelopes = messages.weather_messages(good, stamp).unionByName(messages.statistics_message(summary, stamp))
+    if envelopes.isEmpty():
+        return
+    if channel.path is not None:
+        channel = replace(channel, path=f"{channel.path}/run_date={as_date(day)}")
+    connect.write_messages(envelopes, channel, "overwrite")
+
+
+def run_notification(spark: SparkSession, day: str, input_path: str, output_path: str, now: datetime | None = None) -> DataFrame:
+    """The notification on one day's temperatures as a text file, or the notice that there are none."""
+    good, _ = raw.split_corrupt(raw.read_raw(spark, input_path, day))
     summary = stats.temperature_summary(reshape.current_flat(good))
-    envelopes = messages.weather_messages(good, stamp)
-    connect.write_messages(envelopes.unionByName(messages.statistics_message(summary, stamp)), channel)
+    text = reports.notification_text(summary, F.lit((now or datetime.now()).isoformat()).cast("timestamp_ntz"))
+    daily.write_text(text, f"{output_path}/notification_{as_date(day)}", "message")
+    return text
 
 
 def run_processed_stream(
@@ -177,6 +206,26 @@ def run_processed_stream(
     return connect.stream_sink(weather.processed_messages(stream), sink, checkpoint)
 
 
+def run_rule_alert_stream(
+    spark: SparkSession, source: connect.Channel, rules_path: str, path: str, checkpoint: str, profile: str | None = None
+) -> StreamingQuery:
+    """Drains the weather topic into alerts by a stored rule table, read again for each micro-batch."""
+    return weather.update_rule_alerts(connect.stream_source(spark, source), rules_path, path, checkpoint, profile)
+
+
+def run_retention(spark: SparkSession, path: str, as_of: str | date, days: int, day: str = "obs_date") -> list[str]:
+    """Deletes day folders that are too old; their names."""
+    return upkeep.drop_days(spark, path, as_of, days, day)
+
+
+def run_erasure(spark: SparkSession, path: str, ids_path: str, key: str, schema: str | None = None, day: str = "obs_date") -> list[str]:
+    """Removes the identifiers of a CSV file with a header from a stored data set; the files that were written again."""
+    erased = spark.read.option("header", True).csv(ids_path)
+    schema = schema or spark.read.parquet(path).schema.toDDL()
+    kind = T.StructType.fromDDL(schema)[key].dataType
+    return upkeep.erase_stored(spark, path, erased.select(F.col(key).cast(kind).alias(key)), key, schema, day)
+
+
 def run_alert_stream(
     spark: SparkSession, source: connect.Channel, sink: connect.Channel, checkpoint: str, rules: list[Rule] = BASIC
 ) -> StreamingQuery:

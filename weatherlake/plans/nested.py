@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from weatherlake.functions.calendar import date_hour
 from weatherlake.operators import reshape, stats
 from weatherlake.plans.bindings import HOURLY, SNAPSHOTS, payloads
 from weatherlake.plans.catalog import day, query, stamp
@@ -45,6 +48,14 @@ def hourly_temperature(spark, sf_dir):
     return reshape.hourly_temperature(payloads(spark, sf_dir))
 
 
+@query("date_hour_series", f"""WITH {HOURLY} SELECT {SERIES}, temperature,
+  strftime(CAST(strftime(snap_ts, '%Y-%m-%d') || ' ' || right(hour_time, 5) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS date_hour FROM hourly""")
+def date_hour_series(spark, sf_dir):
+    """The series with its hours on the snapshot's date, as charts show them."""
+    series = reshape.hourly_temperature(payloads(spark, sf_dir))
+    return series.withColumn("date_hour", date_hour(F.col("date"), F.col("hour")))
+
+
 @query("hourly_precipitation", f"WITH {HOURLY} SELECT {SERIES}, precipitation FROM hourly")
 def hourly_precipitation(spark, sf_dir):
     return reshape.hourly_precipitation(payloads(spark, sf_dir))

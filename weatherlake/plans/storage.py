@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from weatherlake import schemas
 from weatherlake.operators import filters, reshape, stats
 from weatherlake.plans.alerting import MONITORED_FLAT, monitored
-from weatherlake.plans.bindings import HOURLY, MONTHS, OBS, SNAPSHOTS, months, obs, payloads
+from weatherlake.plans.bindings import HOURLY, MONTHS, OBS, SNAPSHOTS, months, obs, payloads, table
 from weatherlake.plans.catalog import day, query, stamp
 from weatherlake.plans.nested import SNAPSHOT_STATS
-from weatherlake.plans.observations import RANGE_DAYS, RANGE_END, ROW, STATS_SQL
+from weatherlake.plans.observations import RANGE_DAYS, RANGE_END, ROW, ROW_SQL, STATS_SQL
 from weatherlake.session import scratch_path
-from weatherlake.sources import daily, messages, raw, tables
+from weatherlake.sources import daily, messages, raw, tables, upkeep
 
 PAYLOAD_ROWS = f"""SELECT city, strftime(snap_ts, '%Y-%m-%dT%H:%M:%S') AS timestamp,
   {day('CAST(snap_ts AS DATE)', 'extraction_date')}, CAST(count(*) AS INTEGER) AS n_hours, sum(temperature) AS temperature_sum
@@ -132,6 +132,43 @@ def alerts_table(spark, sf_dir):
     return tables.read_alerts(spark, path)
 
 
+@query("replaced_table", f"WITH {OBS} SELECT city, {day('obs_date')}, {STATS_SQL} FROM obs GROUP BY city, obs_date")
+def replaced_table(spark, sf_dir):
+    """A table of the catalog is made, and replaced by one with other columns."""
+    path = scratch_path(spark, "replaced_table")
+    name = f"city_stats_{path[-8:]}"
+    tables.replace_table(stats.city_stats(obs(spark, sf_dir)), name, path)
+    tables.replace_table(stats.city_stats(obs(spark, sf_dir), "obs_date"), name, path)
+    return spark.table(name)
+
+
+STORED_ROW = [*ROW, "station", "obs_date"]
+
+
+def stored_days(spark, sf_dir, name):
+    """The observations in day folders; (path, schema)."""
+    path = scratch_path(spark, name)
+    rows = obs(spark, sf_dir).select(*STORED_ROW)
+    daily.write_daily(rows, path)
+    return path, rows.schema.toDDL()
+
+
+@query("retention_stored", f"WITH {OBS} SELECT {ROW_SQL} FROM obs WHERE obs_date >= DATE '2024-01-30' - 7")
+def retention_stored(spark, sf_dir):
+    path, schema = stored_days(spark, sf_dir, "retention_stored")
+    upkeep.drop_days(spark, path, "2024-01-30", 7)
+    return upkeep.read_stored(spark, path, schema).select(*ROW)
+
+
+@query("erasure_stored", f"""WITH {OBS} SELECT {ROW_SQL} FROM obs WHERE NOT EXISTS (
+  SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = station)""")
+def erasure_stored(spark, sf_dir):
+    path, schema = stored_days(spark, sf_dir, "erasure_stored")
+    erased = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("station"))
+    upkeep.erase_stored(spark, path, erased, "station", schema)
+    return upkeep.read_stored(spark, path, schema).select(*ROW)
+
+
 ENVELOPE = """SELECT city AS key, CAST(to_json(struct_pack(city := city, timestamp := stamp,
   current_weather := struct_pack(temperature := temperature, windspeed := windspeed, winddirection := winddirection,
     weathercode := weathercode, time := minute),

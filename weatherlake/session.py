@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -49,14 +50,19 @@ def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before, in a folder that the driver and all executors share.
 
-    That is the folder named by spark.checkpoint.dir; a session without one gets a folder in its warehouse, which is
-    shared as well. `clear_scratch` removes what this application wrote there.
+    That is the folder named by spark.checkpoint.dir. A local session without one gets a folder in its warehouse; on a
+    cluster that may lie on the driver's own disk, so there the setting is required. `clear_scratch` removes what
+    this application wrote.
     """
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/weatherlake/{spark.sparkContext.applicationId}"
 
 

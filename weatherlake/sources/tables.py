@@ -1,4 +1,4 @@
-"""Tables: replaced analysis tables and the alert table that is only added to."""
+"""Tables: replaced analysis tables, the rule table, and the alert table that is only added to."""
 
 from __future__ import annotations
 
@@ -7,19 +7,39 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weatherlake import schemas
 from weatherlake.functions.calendar import as_date
+from weatherlake.operators.rules import RULE_SCHEMA
 from weatherlake.sources.raw import or_empty
+from weatherlake.sources.versions import publish_version, read_version, version_path
 
 REQUIRED = ("city", "timestamp", "alert_type", "value", "threshold", "message")
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str) -> int:
+    """Makes `df` the content of the catalog's table `name`, stored under `path`; returns its version.
+
+    The rows are written as a new version first. Then the name, a view on its newest version, is pointed to it by one
+    change of the catalog, so a reader has the old rows or the new ones, also if the columns differ. The version before stays
+    for readers that began with it.
+    """
+    version = publish_version(df, path)
+    location = version_path(path, version).replace("`", "``")
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{location}`")
+    return version
+
+
+def publish_rules(rules: DataFrame, path: str) -> int:
+    """Writes a rule table as a new version, for streams and jobs to read from then on."""
+    return publish_version(rules.select(*T.StructType.fromDDL(RULE_SCHEMA).fieldNames()), path)
+
+
+def read_rules(spark: SparkSession, path: str, profile: str | None = None, version: int | None = None) -> DataFrame:
+    """The newest or a given version of the rule table, of one profile or of all."""
+    rules = read_version(spark, path, RULE_SCHEMA, version)
+    return rules if profile is None else rules.where(F.col("profile") == profile)
 
 
 def alert_rows(alerts: DataFrame) -> DataFrame:

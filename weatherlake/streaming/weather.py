@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weatherlake.functions.text import city_or_unknown
-from weatherlake.operators.alerts import detect
+from weatherlake.operators.alerts import detect, detect_by_table
 from weatherlake.operators.filters import with_current
 from weatherlake.operators.rules import BASIC, Rule
 from weatherlake.sources.messages import JSON_OPTIONS, alert_messages, decode
+from weatherlake.sources.tables import read_rules
+from weatherlake.sources.versions import latest_version
+from weatherlake.streaming.batches import batch_path, compact_batches, read_batches
 
 # A message is late from this many seconds on.
 LATENCY_LIMIT_SECONDS = 5
@@ -30,16 +33,20 @@ def current_stream(messages: DataFrame) -> DataFrame:
     )
 
 
-def alert_stream(messages: DataFrame, rules: Sequence[Rule] = BASIC) -> DataFrame:
-    """Messages to alerts. Stateless: every message is tested on its own."""
-    readings = with_current(decode(messages)).select(
+def alert_readings(messages: DataFrame) -> DataFrame:
+    """Messages to readings with the stamp and place of the message."""
+    return with_current(decode(messages)).select(
         "timestamp",
         city_or_unknown(F.col("city")).alias("city"),
         "coordinates",
         "current_weather.temperature",
         "current_weather.windspeed",
     )
-    return detect(readings, rules)
+
+
+def alert_stream(messages: DataFrame, rules: Sequence[Rule] = BASIC) -> DataFrame:
+    """Messages to alerts. Stateless: every message is tested on its own."""
+    return detect(alert_readings(messages), rules)
 
 
 def alert_message_stream(messages: DataFrame, rules: Sequence[Rule] = BASIC) -> DataFrame:
@@ -47,6 +54,33 @@ def alert_message_stream(messages: DataFrame, rules: Sequence[Rule] = BASIC) ->
     return alert_messages(alert_stream(messages, rules))
 
 
+def update_rule_alerts(
+    messages: DataFrame, rules_path: str, path: str, checkpoint: str, profile: str | None = None
+) -> StreamingQuery:
+    """Alert messages by a rule table that is read again for each micro-batch, all that is there now.
+
+    A micro-batch uses the version of the table that is the newest when it begins, and notes it in `rules_version`
+    (null without any table, which gives no alerts). It writes a folder of its own, which a repeated one replaces.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        version = latest_version(spark, rules_path)
+        rules = read_rules(spark, rules_path, profile, version)
+        found = alert_messages(detect_by_table(alert_readings(batch), rules))
+        noted = found.withColumn("rules_version", F.lit(version).cast("int"))
+        noted.write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+    return (
+        messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(availableNow=True).start()
+    )
+
+
+def read_rule_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """key, value and rules_version of all alert messages."""
+    return read_batches(spark, path, "key STRING, value STRING, rules_version INT")
+
+
 def delays(messages: DataFrame) -> DataFrame:
     """Stamp of each city message, and its delay after the observation in microseconds.
 
@@ -78,7 +112,7 @@ def update_throughput(messages: DataFrame, path: str, checkpoint: str, seconds:
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        throughput_parts(batch, seconds).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        throughput_parts(batch, seconds).write.mode("overwrite").parquet(batch_path(path, batch_id))
 
     return (
         delays(messages).writeStream.option("checkpointLocation", checkpoint)
@@ -90,12 +124,22 @@ def update_throughput(messages: DataFrame, path: str, checkpoint: str, seconds:
 
 def read_throughput(spark: SparkSession, path: str) -> DataFrame:
     """Messages per window, and the mean delay between observation and stamp in seconds: the sum of all parts."""
-    parts = spark.read.schema(THROUGHPUT_PARTS).parquet(path)
+    parts = read_batches(spark, path, THROUGHPUT_PARTS)
     mean = F.sum("micros").cast("double") / F.nullif(F.sum("with_delay"), F.lit(0)) / 1e6
     summed = parts.groupBy("window_start").agg(F.sum("messages").alias("messages"), mean.alias("mean_delay_seconds"))
     return summed.withColumn("is_slow", F.col("mean_delay_seconds") > LATENCY_LIMIT_SECONDS)
 
 
+def compact_throughput(spark: SparkSession, path: str) -> int | None:
+    """Adds up the parts of all micro-batches so far, one row a window, so that reading does not grow with the batches."""
+
+    def fold(parts: DataFrame) -> DataFrame:
+        sums = [F.sum(name).cast(kind).alias(name) for name, kind in (("messages", "long"), ("micros", "decimal(38,0)"), ("with_delay", "long"))]
+        return parts.groupBy("window_start").agg(*sums)
+
+    return compact_batches(spark, path, THROUGHPUT_PARTS, fold)
+
+
 def processed_messages(messages: DataFrame) -> DataFrame:
     """Messages to messages of their flat current observation, keyed by city."""
     flat = current_stream(messages)
