@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weatherlake.llm import files
-from weatherlake.llm.cache import Recent
 from weatherlake.llm.common import stored
 from weatherlake.session import scratch_path
 
@@ -40,7 +39,7 @@ FOOTER = struct.Struct("<QQQ8s")
 MAGIC = b"PFORIDS1"
 BLOCKS_AT_ONCE = 256
 # Frequent segments that a worker remembers, and the longest that it does.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 # Bytes of text that are encoded at once.
 CHUNK_BYTES = 6 << 20
 LONGEST_REMEMBERED = 64
@@ -257,61 +256,68 @@ def segments_of(text: str) -> list[str]:
 class IdEncoder:
     """Token ids of texts as bytes, by the tokenizers library, which is asked once for each frequent segment.
 
-    The text of a special token is ordinary text or, without `special_as_text`, that token, as by the library's default.
+    The text of a special token is that token, as by the library's default, or with `special_as_text` ordinary text.
     """
 
-    def __init__(self, path: str, special_as_text: bool = True):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker a core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.remembered = Recent(None, REMEMBERED)
+        # Segments and their ids as bytes, looked up by Arrow for a whole chunk at once.
+        self.known = pa.array([], pa.large_string())
+        self.known_ids = pa.array([], pa.large_binary())
+        self.uses = np.zeros(0, np.int64)
 
     def _ask(self, segments: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _ids_of(self, segments: list[str]) -> list[bytes]:
-        """The ids of different segments; those that are not remembered are asked for together."""
-        values = list(map(self.remembered.get, segments))
-        missing = [i for i, ids in enumerate(values) if ids is None]
-        keys = [segments[i] for i in missing]
-        olds = list(map(self.remembered.before.get, keys))
-        asked = iter(self._ask([key for key, ids in zip(keys, olds) if ids is None]))
-        found = [next(asked) if ids is None else ids for ids in olds]
-        for i, ids in zip(missing, found):
-            values[i] = ids
-        self.remembered.put_all({key: ids for key, ids in zip(keys, found) if len(key) <= LONGEST_REMEMBERED})
-        return values
+    def _ids_of(self, segments: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(ids, place in them of each segment) of different segments; those that are not known are asked for together."""
+        at = pc.index_in(segments, value_set=self.known)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        missing = at.is_null()
+        is_missing = missing.to_numpy(zero_copy_only=False)
+        new = segments.filter(missing)
+        new_ids = pa.array(self._ask(new.to_pylist()), pa.large_binary())
+        places[is_missing] = len(self.known) + np.arange(len(new))
+        ids = pa.concat_arrays([self.known_ids, new_ids])
+        self.uses[places[~is_missing]] += 1
+        short = pc.less_equal(pc.utf8_length(new), LONGEST_REMEMBERED)
+        self._remember(new.filter(short), new_ids.filter(short))
+        return ids, places
+
+    def _remember(self, segments: pa.Array, ids: pa.Array) -> None:
+        if len(self.known) + len(segments) > REMEMBERED:
+            # The half that fewer chunks had goes.
+            stay = np.sort(np.argsort(self.uses, kind="stable")[len(self.uses) // 2 :])
+            self.known, self.known_ids = self.known.take(pa.array(stay)), self.known_ids.take(pa.array(stay))
+            self.uses = self.uses[stay] // 2
+        self.known = pa.concat_arrays([self.known, segments])
+        self.known_ids = pa.concat_arrays([self.known_ids, ids])
+        self.uses = np.append(self.uses, np.zeros(len(segments), np.int64))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of some texts. Each different segment is looked up once, and its ids are copied to all its places."""
         marked = [None if MARK in text else marked_segments(text) for text in texts]
         cut = pc.split_pattern(pa.array([text for text in marked if text is not None], pa.large_string()), MARK)
-        marked = [text is not None for text in marked]
         coded = cut.flatten().dictionary_encode()
         segment_ends = np.array(cut.offsets) - cut.offsets[0].as_py()
         del cut
-        parts = self._ids_of(coded.dictionary.to_pylist())
-        all_ids = np.frombuffer(b"".join(parts), "<u4")
-        # A chunk has far fewer than 2 ** 31 ids.
-        lengths = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
-        starts = lengths.cumsum(dtype=np.int32) - lengths
-        places = coded.indices.to_numpy()
-        counts = lengths[places]
-        ends = counts.cumsum(dtype=np.int32)
-        at = np.repeat(starts[places] - (ends - counts), counts)
-        at += np.arange(len(at), dtype=np.int32)
-        ids = all_ids[at]
+        ids, places = self._ids_of(coded.dictionary)
+        copied = ids.take(pa.array(places[coded.indices.to_numpy()]))
+        _, ends, data = copied.buffers()
         # Where each text's ids end: at the end of its last segment.
-        text_ends = np.append(0, ends)[segment_ends]
-        found = iter([ids[start:stop].tobytes() for start, stop in zip(text_ends[:-1], text_ends[1:])])
-        return [next(found) if was_cut else self._ask([text])[0] for text, was_cut in zip(texts, marked)]
+        stops = np.frombuffer(ends, np.int64)[copied.offset : copied.offset + len(copied) + 1][segment_ends].tolist()
+        whole = memoryview(data) if data is not None else memoryview(b"")
+        found = iter([bytes(whole[start:stop]) for start, stop in zip(stops[:-1], stops[1:])])
+        return [self._ask([text])[0] if was is None else next(found) for text, was in zip(texts, marked)]
 
 
 @functools.lru_cache(maxsize=2)
-def id_encoder(path: str, special_as_text: bool = True) -> IdEncoder:
+def id_encoder(path: str, special_as_text: bool = False) -> IdEncoder:
     return IdEncoder(path, special_as_text)
 
 
@@ -385,7 +391,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                 columns = list(zip(*rows)) or [[]] * len(fields)
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, fields.values())], names=list(fields))
 
-    shards = manifest.select("file", "start", "shard").repartition(max(1, manifest.count()), "shard")
+    shards = manifest.select("file", "start", "shard").repartitionById(max(1, manifest.count()), F.col("shard").cast("int"))
     return shards.mapInArrow(run, "doc_id LONG, start LONG, n_tokens LONG, ids_crc32 LONG, shard LONG")
 
 
