@@ -111,3 +111,95 @@ def test_query_leaves_no_private_data(spark):
         assert not any(m in row.text for m in private.findall(old[row.doc_id]))
         if not private.search(old[row.doc_id]) and not row.n_entities:
             assert row.text == old[row.doc_id]
+
+
+SCRIPTS = {
+    "han": "用户名字@例子公司.中国", "armenian": "Dr Արմեն", "greek": "Dr Νίκος", "greek capitals": "ΝΙΚΟΣ@ΠΑΡΑΔΕΙΓΜΑ.org", "polish": "Mr Łukasiewicz",
+    "czech": "Herr Šč", "georgian": "სახელი@მაგალითი.org", "hebrew": "שלום@דוגמה.org", "arabic": "اسم@مثال.org", "thai": "ทดสอบ@ตัวอย่าง.org",
+    "hangul": "이름@예시.org", "ethiopic": "ሰላም@ምሳሌ.org", "katakana": "ナマエ@レイ.org", "devanagari": "नाम@उदाहरण.org", "digits": "٣٤٥@٣٤٥٦.org",
+    "cherokee": "Dr Ꭰꭱꭲ", "deseret": "Dr 𐐀𐐨𐐩",
+}
+
+
+def test_every_script_has_surrogates(spark):
+    texts = [f"Write to {entity} now" for entity in SCRIPTS.values()]
+    got = replaced(spark, texts)
+    new = [got[i].text.removeprefix("Write to ").removesuffix(" now") for i in range(len(texts))]
+    assert all(got[i].n_entities == 1 for i in range(len(texts)))
+    for (script, old), surrogate in zip(SCRIPTS.items(), new):
+        assert surrogate != old and len(surrogate) >= len(old), (script, surrogate)
+        name = old.split("@")[0].split(" ")[-1]
+        assert name not in surrogate, (script, surrogate)
+    assert len(set(new)) == len(new)
+    assert re.fullmatch(r"Dr [Ա-Ֆ][ա-ֆև]{4}", new[1]) and re.fullmatch(r"Dr [\u0370-\u03ff]{5}", new[2])
+    assert re.fullmatch(r"[\u4e00-\u4f00]{4}@[\u4e00-\u4f00]{4}\.中国", new[0])
+
+
+def test_more_short_names_than_there_are_surrogates_of_their_length(spark):
+    """All 676 two-letter names: none of that length is free, so surrogates grow."""
+    names = [f"{a}{b}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    got = replaced(spark, [f"Dr {name} came" for name in names])
+    new = [got[i].text.split()[1] for i in range(len(names))]
+    assert len(set(new)) == len(names) and not set(new) & set(names)
+    assert all(re.fullmatch(r"[A-Z][a-z]{2,}", name) for name in new)
+
+
+def test_an_entity_without_a_free_surrogate_is_masked(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "LAST_ATTEMPT", 0)
+    names = [f"{a}{b}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrstuvwxyz"]
+    got = replaced(spark, [f"Dr {name} came" for name in names])
+    new = [re.fullmatch(r"Dr (.+) came", got[i].text)[1] for i in range(len(names))]
+    assert len(set(new)) == len(names) and all(re.fullmatch(r"\[name [0-9a-f]{32}\]", name) for name in new)
+
+
+def test_gender_endings_and_spoken_names(spark):
+    got = replaced(spark, ["Иван Петров и Анна Петрова; John Smith"])[0].text
+    assert re.fullmatch(r"[А-Я][а-я]+ [А-Я][а-яёѐ-џ]+ов и [А-Я][а-я]+ [А-Я][а-яёѐ-џ]+ова; [A-Z][a-z]+ [A-Z][a-z]{4}", got)
+    assert re.fullmatch(r"[^AEIOUY][^aeiouy][aeiouy][^aeiouy]{2}", got.split()[-1])
+
+
+ENTITY_ROWS = [
+    (1, PRIVATE[0], None, None, None), (None, PRIVATE[0], "en", "a", 1), (None, PRIVATE[1], "en", "a", 1), (1, PRIVATE[0], "en", "a", 1),
+    (2, PRIVATE[4] + " " + cases.LONG + " " + PRIVATE[2], "en", "b", 1), (3, None, "en", "b", 1), (4, "", None, "b", 1),
+    *[(10 + i, f"mail {a}@{b}.org end", "en", "s", 1) for i, (a, b) in enumerate((a, b) for a in "012345" for b in "01")],
+]
+
+
+def test_rows_with_entities_equal_a_plain_replacement(spark):
+    """Brute force: cut each text by Python's reading of the patterns and put in the surrogate of each entity, found from the result."""
+    docs = spark.createDataFrame(ENTITY_ROWS, cases.SCHEMA).selectExpr("*", "'x' AS attempts", "'y' AS digest0", "'z' AS found")
+    rows = surrogates.replace_entities(docs, KEY).collect()
+    assert len(rows) == len(ENTITY_ROWS)
+    by_text = {}
+    for row in rows:
+        assert by_text.setdefault(row.row.text, row.text) == row.text
+    entities = {r.match: (r.kind, r.entity) for r in surrogate_table(spark, docs)}
+    new = {}
+    for old, text in by_text.items():
+        if not old:
+            assert text == old
+            continue
+        cut = re.split("(" + "|".join(re.escape(m) for m in sorted(entities, key=len, reverse=True)) + ")", old)
+        plain, at = cut[::2], 0
+        assert text.startswith(plain[0]) and text.endswith(plain[-1])
+        pattern = "(.+?)".join(re.escape(part) for part in plain)
+        got = re.fullmatch(pattern, text, re.S)
+        assert got, (old[:80], text[:80])
+        for match, surrogate in zip(cut[1::2], got.groups()):
+            kind, entity = entities[match]
+            spelled = re.sub(r"\D", "", surrogate) if kind in surrogates.DIGIT_KINDS else surrogate.lower() if kind == "email" else surrogate
+            assert new.setdefault((kind, entity), spelled) == spelled
+            assert match.lower() != surrogate.lower()
+    for kind in {k for k, _ in new}:
+        own = [surrogate for (k, _), surrogate in new.items() if k == kind]
+        assert len(set(own)) == len(own)
+        if kind != "given":
+            assert not set(own) & {entity for k, entity in new if k == kind}
+
+
+def surrogate_table(spark, docs):
+    from pyspark.sql import functions as F
+
+    matches = docs.select(F.explode(surrogates.matches_in(F.col("text"))).alias("match")).distinct()
+    kinds = matches.withColumn("kind", surrogates.kind_of(F.col("match")))
+    return kinds.withColumn("entity", surrogates.entity_of(F.col("kind"), F.col("match"))).collect()

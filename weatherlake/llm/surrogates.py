@@ -8,6 +8,7 @@ surrogate wherever it occurs. The attempt is 0 but for entities whose surrogate
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +23,38 @@ GIVEN_NAMES = {
     "cyrillic female": ["Анна", "Мария", "Ольга", "Елена", "Ирина", "Наталья"],
 }
 TITLES = ["Mr", "Mrs", "Ms", "Dr", "Herr", "Frau", "Mme", "Sr", "Sra"]
-# Letters by script, for replacing a letter by one of its kind.
-ALPHABETS = [
-    "0123456789",
-    "abcdefghijklmnopqrstuvwxyz",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß",
-    "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
-    "абвгдежзийклмнопрстуфхцчшщъыьэюяё",
-    "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁ",
-    "αβγδεζηθικλμνξοπρστυφχψω",
-]
+# Vowels by script, so that what replaces a name can be spoken; and endings that mark a name's gender.
+VOWELS = "aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüýÿаеёиоуыэюяαεηιουωіїєāēīōūęąőű"
+ENDINGS = ["ова", "ева", "ина", "ская", "цкая", "ов", "ев", "ин", "ский", "цкий"]
+# Blocks of scripts, by their first and last code point.
+BLOCKS = {
+    "latin": (0x61, 0x7A), "latin accents": (0xDF, 0xFF), "latin extended": (0x100, 0x17F), "latin additional": (0x1E00, 0x1EFF),
+    "greek": (0x3B1, 0x3C9), "greek extended": (0x370, 0x3FF), "cyrillic": (0x430, 0x44F), "cyrillic extended": (0x450, 0x4FF),
+    "armenian": (0x530, 0x58F), "hebrew": (0x5D0, 0x5EA), "arabic": (0x620, 0x64A),
+    "devanagari": (0x904, 0x939), "bengali": (0x985, 0x9B9), "tamil": (0xB85, 0xBB9), "thai": (0xE01, 0xE2E), "georgian": (0x10D0, 0x10FF),
+    "hiragana": (0x3041, 0x3096), "katakana": (0x30A1, 0x30FA), "hangul": (0xAC00, 0xAD00), "han": (0x4E00, 0x4F00),
+}
+# Scripts with more letters than those above stand for the letters of the whole range.
+WIDE = {"han": r"\p{IsHan}", "hangul": r"\p{IsHangul}"}
+
+
+def _alphabets() -> list[tuple[str, str]]:
+    """(test, letters): a character that passes the test is replaced by one of the letters. The last two take what is left."""
+    found = [(r"[0-9]", "0123456789")]
+    for name, (first, last) in BLOCKS.items():
+        letters = [chr(c) for c in range(first, last + 1)]
+        if name in WIDE:
+            found.append((WIDE[name], "".join(c for c in letters if unicodedata.category(c) == "Lo")))
+            continue
+        lower = [c for c in letters if unicodedata.category(c) in ("Ll", "Lo")]
+        for sound in (True, False):
+            own = "".join(c for c in lower if (unicodedata.normalize("NFD", c)[0] in VOWELS or c in VOWELS) == sound)
+            upper = "".join(c.upper() for c in own if len(c.upper()) == 1 and c.upper() != c)
+            found += [(f"[{cased}]", cased) for cased in (own, upper) if len(cased) > 1]
+    return [*found, (r"\p{N}", "0123456789"), (r"[\p{L}\p{M}]", "abcdefghijklmnopqrstuvwxyz")]
+
+
+ALPHABETS = _alphabets()
 
 _given = "|".join(name for names in GIVEN_NAMES.values() for name in names)
 _titles = "|".join(TITLES)
@@ -40,7 +62,7 @@ _word = r"\p{Lu}\p{Ll}{1,20}"
 _octet = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # The kinds in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@(?:[\p{L}\p{N}-]{1,40}\.){1,3}\p{L}{2,12}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]{0,63}+@(?:[\p{L}\p{M}\p{N}-]{1,40}\.){1,3}\p{L}{2,12}",
     "ip": rf"(?<![\d.])(?:{_octet}\.){{3}}{_octet}(?![\d]|\.\d)",
     "phone": r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
@@ -56,8 +78,11 @@ SIGNS = rf"\d\.?\d|@|[0-9a-f]{{32}}|(?=\p{{Lu}})(?:{_given}|{_titles})(?!\p{{Ll}
 DIGIT_KINDS = ("phone", "card", "person number")
 # Cuts a text between any two characters.
 CHARACTERS = r"(?s)(?<=.)(?=.)"
-# Bytes of the keyed stream: one a character of the longest match.
-STREAM_BYTES = 224
+# Bytes of the keyed stream: one a character of the longest match as it is lengthened at most.
+STREAM_BYTES = 256
+# From this attempt on a name or address gets a letter more each time, and after the last one an entity is masked.
+LENGTHENED = 3
+LAST_ATTEMPT = 24
 
 
 def matches_in(text: Column) -> Column:
@@ -100,16 +125,26 @@ def _passes_luhn(digits: Column) -> Column:
 def surrogate_entity(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
     """The entity that stands for another, each character by one of its own alphabet.
 
-    An address keeps its last label, a phone number what comes before its last ten digits, and a card number its
-    check digit's truth. Names of persons come from the list of their script and gender.
+    Letters stay in their script and case, and vowels are vowels; a letter or digit of a script without an alphabet here
+    becomes a Latin letter or an ASCII digit. An address keeps its last label, a phone number what comes before its last ten digits, a
+    card number its check digit's truth, and a name the ending that marks its gender. Given names come from the list of their
+    script and gender. Beyond LAST_ATTEMPT the surrogate is a mask, the kind and a digest in brackets, which is no entity.
     """
-    blocks = [
-        F.sha2(F.concat_ws("|", F.lit(key), kind, entity, attempt.cast("string"), F.lit(str(k))), 256)
-        for k in range(STREAM_BYTES // 32)
-    ]
+    seed = F.concat_ws("|", F.lit(key), kind, entity, attempt.cast("string"))
+    blocks = [F.sha2(F.concat_ws("|", seed, F.lit(str(k))), 256) for k in range(STREAM_BYTES // 32)]
+    more = F.greatest(attempt - LENGTHENED, F.lit(0))
+    longer = (
+        F.when(kind == "name", F.concat(entity, F.repeat(F.right(entity, F.lit(1)), more)))
+        .when(kind == "email", F.concat(F.repeat(F.left(entity, F.lit(1)), more), entity))
+        .otherwise(entity)
+    )
     # One struct in a list of one: the stream is made once for the entity, not once for each character.
-    made = F.transform(F.array(F.struct(F.concat(*blocks).alias("hex"))), lambda s: _from_stream(kind, entity, s["hex"]))
-    return F.when(kind == "given", _given_surrogate(key, entity)).otherwise(F.get(made, F.lit(0)))
+    inputs = F.array(F.struct(F.concat(*blocks).alias("hex"), longer.alias("entity")))
+    made = F.transform(inputs, lambda s: _from_stream(kind, s["entity"], s["hex"]))
+    masked = F.concat(F.lit("["), kind, F.lit(" "), F.left(F.sha2(seed, 256), F.lit(32)), F.lit("]"))
+    return (
+        F.when(kind == "given", _given_surrogate(key, entity)).when(attempt > LAST_ATTEMPT, masked).otherwise(F.get(made, F.lit(0)))
+    )
 
 
 def _from_stream(kind: Column, entity: Column, stream: Column) -> Column:
@@ -117,15 +152,18 @@ def _from_stream(kind: Column, entity: Column, stream: Column) -> Column:
         return F.conv(F.substring(stream, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
 
     def own_kind(c: Column, i: Column) -> Column:
-        out = c
-        for alphabet in ALPHABETS:
-            out = F.when(F.instr(F.lit(alphabet), c) > 0, F.substring(F.lit(alphabet), byte(i) % len(alphabet) + 1, F.lit(1))).otherwise(out)
-        return out
+        # Two bytes choose, as some alphabets have more than 256 letters.
+        number = byte(i) * 256 + byte(F.lit(STREAM_BYTES - 1) - i)
+        chosen = F
+        for test, letters in ALPHABETS:
+            chosen = chosen.when(c.rlike(test), F.substring(F.lit(letters), number % len(letters) + 1, F.lit(1)))
+        return chosen.otherwise(c)
 
     hexes = "0123456789abcdef"
     last = F.length(F.substring_index(entity, ".", -1))
+    ending = F.length(F.regexp_extract(entity, f"({'|'.join(ENDINGS)})$", 1))
     kept_front = F.when(kind == "phone", F.greatest(F.length(entity) - 10, F.lit(0))).otherwise(0)
-    kept_back = F.when(kind == "email", last).otherwise(0)
+    kept_back = F.when(kind == "email", last).when(kind == "name", ending).otherwise(0)
     characters = F.transform(
         F.split(entity, CHARACTERS),
         lambda c, i: F.when((i < kept_front) | (i >= F.length(entity) - kept_back), c)
@@ -175,7 +213,7 @@ def rendered(kind: Column, match: Column, entity: Column) -> Column:
         "",
     )
     same_length = F.length(entity) == F.length(match)
-    return F.when(kind.isin(*DIGIT_KINDS), digits).when((kind == "email") & same_length, letters).otherwise(entity)
+    return F.when(entity.startswith("["), entity).when(kind.isin(*DIGIT_KINDS), digits).when((kind == "email") & same_length, letters).otherwise(entity)
 
 
 def entities(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -190,7 +228,8 @@ def settled_attempts(found: DataFrame, key: str) -> DataFrame:
 
     `found` has each entity once. In each round the surrogates are grouped: of entities with the same surrogate the first
     in order keeps it, and an entity whose surrogate is another real entity keeps none; the others try the next number.
-    Entities are only counted and joined by themselves or their surrogates, which are as many.
+    Entities are only counted and joined by themselves or their surrogates, which are as many. Names and addresses grow with the
+    attempts, and after LAST_ATTEMPT an entity gets its mask, so the rounds are at most LAST_ATTEMPT + 2.
     """
     surrogate = surrogate_entity(key, F.col("kind"), F.col("entity"), F.col("attempt"))
     state = stored(found.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate), "surrogates")
@@ -206,34 +245,35 @@ def settled_attempts(found: DataFrame, key: str) -> DataFrame:
         state = stored(kept.unionByName(moved.withColumn("surrogate", surrogate)), "surrogates")
 
 
-def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def replace_entities(docs: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """One row per input row: `row` (the input row as a struct), `text` with surrogates, and counts n_<kind> and n_entities.
 
     Null texts stay null and have no entities; a text without entities is unchanged. Repeated rows get the same text. Two
     entities of a kind never share a surrogate, no surrogate is a real entity of its kind, and an entity has one
-    surrogate in all texts. An empty table gives an empty result. `key` must be kept secret and not be empty.
+    surrogate in all texts. Given names are the exception: each stands for another of its list, so a surrogate may be a name
+    that occurs. An empty table gives an empty result. `key` must be kept secret and not be empty.
 
     The entities of all texts are made distinct by a grouping that each task starts on its own rows, so a frequent
-    one is a row a task. Only documents that hold an entity with an attempt other than 0 are joined to it, by id.
+    one is a row a task. Only texts that hold an entity with an attempt other than 0 are joined to it, by their digest.
     """
     if not key:
         raise ValueError("the key must not be empty")
     found = stored(entities(docs, text_column).distinct(), "entities")
     attempts = stored(settled_attempts(found, key), "attempts")
     text = F.col(f"`{text_column}`")
-    rows = docs.select(packed(docs).alias("row"), F.col(f"`{id_column}`").alias("id"), text.alias("old"))
+    digest = F.xxhash64(text), F.md5(text)
+    rows = docs.select(packed(docs).alias("row"), text.alias("old"), *[d.alias(f"digest{k}") for k, d in enumerate(digest)])
 
-    # Attempts by document, for the few that need them.
-    where = docs.select(F.col(f"`{id_column}`").alias("fix_id"), text)
+    # Attempts by text, for the few texts that need them; copies of a text are one row here.
     if attempts.isEmpty():
         fixed = rows.withColumn("attempts", F.lit(None).cast("map<string,int>"))
     else:
-        matches = F.array_distinct(matches_in(text))
-        held = where.select("fix_id", F.explode(matches).alias("match")).withColumn("kind", kind_of(F.col("match")))
-        held = held.select("fix_id", "kind", entity_of(F.col("kind"), F.col("match")).alias("entity")).distinct()
+        where = docs.select(*[d.alias(f"digest{k}") for k, d in enumerate(digest)], F.explode(F.array_distinct(matches_in(text))).alias("match"))
+        held = where.withColumn("kind", kind_of(F.col("match")))
+        held = held.select("digest0", "digest1", "kind", entity_of(F.col("kind"), F.col("match")).alias("entity")).distinct()
         pair = F.struct(F.concat_ws("|", "kind", "entity"), F.col("attempt"))
-        fixes = held.join(attempts, ["kind", "entity"]).groupBy("fix_id").agg(F.map_from_entries(F.collect_set(pair)).alias("attempts"))
-        fixed = rows.join(stored(fixes, "fixes"), F.expr("id <=> fix_id"), "left").drop("fix_id")
+        fixes = held.join(attempts, ["kind", "entity"]).groupBy("digest0", "digest1").agg(F.map_from_entries(F.collect_set(pair)).alias("attempts"))
+        fixed = rows.join(stored(fixes, "fixes"), ["digest0", "digest1"], "left")
 
     cut = fixed.withColumn("matches", matches_in(F.col("old")))
     described = F.transform("matches", lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
