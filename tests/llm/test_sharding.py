@@ -70,3 +70,41 @@ def test_rows_that_share_an_id_or_have_none_are_spread(spark):
     got = sharding.assign(records, totals, slot_map).groupBy("shard").sum("size").collect()
     sizes = [row[1] for row in got]
     assert len(sizes) == 5 and max(sizes) < 1.1 * min(sizes)
+
+
+def test_a_version_is_written_once(spark, tmp_path):
+    docs = cases.documents(spark)
+    records, totals, slot_map = assigned(spark, docs)
+    path = str(tmp_path / "map")
+    sharding.write_map(slot_map, path)
+    with pytest.raises(FileExistsError):
+        sharding.write_map(sharding.first_map(totals, 3, 64), path)
+    assert sharding.read_map(spark, path, 1).exceptAll(slot_map).isEmpty() and sharding.read_map(spark, path, 1).count() == 64
+    # A broken write of the next version does not stand in the way.
+    slot_map.select("vslot", "shard").write.parquet(f"{path}/version=2")
+    (tmp_path / "map/version=2/_SUCCESS").unlink()
+    sharding.write_map(sharding.edited_map(slot_map, totals, 6, 2), path)
+    assert sharding.read_map(spark, path, 2).count() == 64
+    assert sharding.assign(records, totals, sharding.read_map(spark, path, 2)).count() == docs.count()
+
+
+@pytest.mark.parametrize("table", [cases.edge, cases.documents])
+def test_shards_equal_a_plain_placement(spark, table):
+    """Slots largest first, each on the lightest shard; rows numbered in their shard by slot, then id."""
+    records, totals, slot_map = assigned(spark, table(spark), 5, 64)
+    rows = [r.asDict() for r in records.collect()]
+    loads, shard_of = [0] * 5, {slot: slot % 5 for slot in range(64)}
+    sizes = {}
+    for row in rows:
+        sizes[row["vslot"]] = sizes.get(row["vslot"], 0) + row["size"]
+    for slot in sorted(sizes, key=lambda s: (-sizes[s], s)):
+        shard_of[slot] = loads.index(min(loads))
+        loads[shard_of[slot]] += sizes[slot]
+    counted = [0] * 5
+    want = []
+    for row in sorted(rows, key=lambda r: (r["vslot"], r["doc_id"] is not None, r["doc_id"] or 0, r["text_crc32"], r["size"])):
+        shard = shard_of[row["vslot"]]
+        want.append((row["doc_id"], row["text_crc32"], shard, counted[shard]))
+        counted[shard] += 1
+    got = sharding.assign(records, totals, slot_map)
+    assert sorted(map(repr, (tuple(r) for r in got.select("doc_id", "text_crc32", "shard", "slot").collect()))) == sorted(map(repr, want))

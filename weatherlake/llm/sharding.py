@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weatherlake.sources.folders import Folder
+from weatherlake.sources.versions import version_path
+
 SLOTS = 8192
 ROW_BYTES = 16
 
@@ -87,13 +90,22 @@ def _whole(slots: DataFrame, chosen: DataFrame, spare: Column, version: int) ->
 
 
 def write_map(slot_map: DataFrame, path: str) -> None:
-    """Adds a version to the stored map; a version that is there is never changed."""
-    slot_map.coalesce(1).write.partitionBy("version").mode("append").parquet(path)
-
+    """Adds a version to the stored map. A version that is there is never changed: writing it again is an error.
 
-def read_map(spark, path: str, version: int) -> DataFrame:
-    schema = "vslot INT, shard INT, version INT"
-    return spark.read.schema(schema).parquet(path).where(F.col("version") == version).select("version", "vslot", "shard")
+    What a run that broke off left of a version does not count and is replaced.
+    """
+    versions = [row.version for row in slot_map.select("version").distinct().limit(2).collect()]
+    if len(versions) != 1:
+        raise ValueError("a map has one version")
+    folder = Folder(slot_map.sparkSession, path)
+    if versions[0] in folder.numbered("version"):
+        raise FileExistsError(f"version {versions[0]} of the map is there")
+    slot_map.select("vslot", "shard").coalesce(1).write.mode("overwrite").parquet(version_path(path, versions[0]))
+
+
+def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
+    rows = spark.read.schema("vslot INT, shard INT").parquet(version_path(path, version))
+    return rows.select(F.lit(version).alias("version"), "vslot", "shard")
 
 
 def records_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", slots: int = SLOTS) -> DataFrame:
