@@ -1,4 +1,11 @@
+import math
+import random
+import re
+import time
+from collections import defaultdict
+
 import cases
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +118,87 @@ def test_visible_text():
     source = '<html><head><style>p{}</style></head><nav>menu</nav><p>A&amp;B <b>c</b></p><script>var t="</p>";</script><!-- x --></html>'
     assert language_id.visible_text(source).split() == ["A&B", "c"]
     assert language_id.declared_language('<meta http-equiv="content-language" content="de-AT">') == "de"
+
+
+HOSTILE = ["<!--", "<nav ", "<html ", "<meta content-language ", "<", "<div class='ad", "<script>", "</nav ", "<html lang=", "lang= ", "<meta content-language content= ", "&#9", "&#0", "9", " "]
+
+
+@pytest.mark.parametrize("piece", HOSTILE)
+@pytest.mark.parametrize("head", ["", "<html ", "<meta content-language content=", "&#", "<nav>"])
+def test_long_hostile_pages_are_read_in_linear_time(piece, head):
+    source = head + piece * ((1 << 20) // len(piece))
+    start = time.perf_counter()
+    language_id.visible_text(source)
+    language_id.declared_language(source)
+    assert time.perf_counter() - start < 2
+
+
+DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|header|footer|aside|template|noscript)\b.*?</\1\s*>|<div class=.?ad\b.*?</div>")
+DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+META = re.compile(r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+
+
+def test_reading_equals_plain_patterns():
+    rng = random.Random(1)
+    pieces = ["<!--", "-->", "<nav>", "</NAV >", "<script", "</script>", "<div class='ad'>", "</div>", "<p>", "<", ">", "a b", " ", "<html ", " lang='de'", "lang = EN-us", "<META ", "content-language", " content=\"fr\"", "<b", "\n"]
+    for _ in range(20_000):
+        source = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert language_id.without_hidden(source) == DROPPED.sub(" ", source), source
+        assert language_id.without_tags(source) == re.sub(r"(?s)<[^>]*>", " ", source), source
+        found = DECLARED.search(source) or META.search(source)
+        assert language_id.declared_language(source) == (found[1].lower() if found else None), source
+
+
+def test_numbers_of_characters():
+    assert language_id.visible_text("&#65;&#000066;&#" + "0" * 9000 + "67; &#x44; &#99999999999; &#" + "9" * 9000 + ";") == "ABC D \ufffd \ufffd"
+
+
+def test_domains():
+    names = ["www.a.co.uk", "b.co.uk", "co.uk", "x.y.org", "shop.com", "a.b.com.au", "one", "a.b.de"]
+    want = ["a.co.uk", "b.co.uk", "co.uk", "y.org", "shop.com", "b.com.au", "one", "b.de"]
+    assert [language_id.address(f"https://{name}/x")[1] for name in names] == want
+
+
+def test_fused_chances_equal_plain_arithmetic(spark, text_model, texts):
+    """The same sums and products page by page, with dictionaries."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        lang = rng.choice(["en", "de", "fr", "es"])
+        text = rng.choice(texts[lang])[: rng.choice([0, 15, 40, 3000])]
+        url = rng.choice([None, f"http://h{rng.randint(0, 9)}.site{rng.randint(0, 2)}.{rng.choice(['de', 'fr', 'com'])}/x", "http://a.b.co.uk/"])
+        rows.append((i, url, page(text, rng.choice([None, lang, "xx"]))))
+    got = found(spark, rows, text_model)
+    size = len(text_model.languages)
+    pages = []
+    for key, url, source in rows:
+        likely = [float(x) for x in text_model.log_likelihoods(language_id.visible_text(source).strip())]
+        chances = [math.exp(x) for x in likely]
+        shares = [x / sum(chances) for x in chances]
+        pages.append((key, *language_id.address(url), language_id.declared_language(source), likely, shares))
+    sums = defaultdict(lambda: [0.0] * size)
+    for _, host, domain, suffix, declared, _, shares in pages:
+        for name, value in (("host", host), ("domain", domain), ("suffix", suffix), ("declared", declared), ("all", "")):
+            if value is not None:
+                sums[name, value] = [a + b for a, b in zip(sums[name, value], shares)]
+    every = sums["all", ""]
+    for key, host, domain, suffix, declared, likely, shares in pages:
+        level = [(x + 1) / (sum(every) + size) for x in every]
+        for name, value, strength in (("domain", domain, language_id.DOMAIN_STRENGTH), ("host", host, language_id.HOST_STRENGTH)):
+            if value is not None:
+                others = [max(a - b, 0) for a, b in zip(sums[name, value], shares)]
+                level = [(o + strength * x) / (sum(others) + strength) for o, x in zip(others, level)]
+        total = [math.log(x) + y for x, y in zip(level, likely)]
+        for name, value in (("declared", declared), ("suffix", suffix)):
+            if value is not None:
+                others = [max(a - b, 0) for a, b in zip(sums[name, value], shares)]
+                share = sum(others) / max(1.0, sum(every))
+                strength = language_id.TABLE_STRENGTH
+                total = [
+                    t + math.log((o + strength * (share + 1e-9)) / (max(e - own, 0) + strength))
+                    for t, o, e, own in zip(total, others, every, shares)
+                ]
+        chances = np.exp(np.array(total) - max(total))
+        chances /= chances.sum()
+        assert got[key].probability == pytest.approx(chances.max(), abs=1e-6)
+        assert chances[text_model.languages.index(got[key].lang)] == pytest.approx(chances.max(), abs=1e-6)

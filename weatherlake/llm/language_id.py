@@ -35,27 +35,82 @@ HOST_STRENGTH = 4.0
 DOMAIN_STRENGTH = 8.0
 TABLE_STRENGTH = 2.0
 
-DROPPED = re.compile(
-    r"(?is)<!--.*?-->|<(script|style|nav|header|footer|aside|template|noscript)\b.*?</\1\s*>|<div class=.?ad\b.*?</div>"
-)
-TAGS = re.compile(r"(?s)<[^>]*>")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
-META = re.compile(r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+# Starts of parts that are not shown, with what ends each.
+HIDDEN_NAMES = ("script", "style", "nav", "header", "footer", "aside", "template", "noscript")
+HIDDEN = re.compile(rf"(?is)(<!--)|<({'|'.join(HIDDEN_NAMES)})\b|(<div class=.?ad\b)")
+HIDDEN_ENDS = {name: re.compile(rf"(?i)</{name}\s*>") for name in HIDDEN_NAMES} | {"comment": re.compile("-->"), "ad": re.compile("(?i)</div>")}
+HTML_TAG, META_TAG = re.compile(r"(?i)<html\b"), re.compile(r"(?i)<meta\b")
+LANG = re.compile(r"(?i)\blang\s*=\s*(?:[\"']\s*)?([a-z]{2,3})\b")
+CONTENT_LANGUAGE = re.compile("(?i)content-language")
+CONTENT = re.compile(r"(?i)content\s*=\s*(?:[\"']\s*)?([a-z]{2,3})\b")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Character references by number: zeros in front, and numbers beyond any character.
+ZEROS, TOO_LARGE = re.compile(r"&#0+(?=\d)"), re.compile(r"&#\d{8,};?")
+# Labels below a country's suffix under which names are given out.
+SECOND_LEVEL = {"ac", "co", "com", "edu", "go", "gob", "gov", "gv", "net", "ne", "nom", "or", "org"}
+
+
+def without_hidden(page: str) -> str:
+    """The page with each hidden part as one space. A part without an end is not hidden.
+
+    Every byte is looked at once for each kind at most: where a kind's end is not found, there is none further on.
+    """
+    out, at, look = [], 0, 0
+    endless: set[str] = set()
+    while (start := HIDDEN.search(page, look)) is not None:
+        kind = "comment" if start[1] else start[2].lower() if start[2] else "ad"
+        end = None if kind in endless else HIDDEN_ENDS[kind].search(page, start.end())
+        if end is None:
+            endless.add(kind)
+            look = start.end()
+        else:
+            out += (page[at : start.start()], " ")
+            at = look = end.end()
+    return "".join([*out, page[at:]])
+
+
+def without_tags(page: str) -> str:
+    """The page with each tag as one space; what follows a last < without > is text."""
+    out, at = [], 0
+    while (start := page.find("<", at)) >= 0 and (end := page.find(">", start)) >= 0:
+        out += (page[at:start], " ")
+        at = end + 1
+    return "".join([*out, page[at:]])
 
 
 def visible_text(page: str) -> str:
-    """The text a reader sees, without navigation and advertisements."""
-    return html.unescape(TAGS.sub(" ", DROPPED.sub(" ", page)))
+    """The text a reader sees, without navigation and advertisements; linear in the page."""
+    text = without_tags(without_hidden(page))
+    return html.unescape(TOO_LARGE.sub("\ufffd", ZEROS.sub("&#", text)))
+
+
+def _tags(page: str, opening: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Where the attributes of such tags start and end; a tag inside another unclosed one counts as part of it."""
+    at = 0
+    while (start := opening.search(page, at)) is not None:
+        end = page.find(">", start.end())
+        at = end if end >= 0 else len(page)
+        yield start.end(), at
 
 
 def declared_language(page: str) -> str | None:
-    found = DECLARED.search(page) or META.search(page)
-    return found[1].lower() if found else None
+    """The lang of the html tag, else the language that a meta tag gives; linear in the page."""
+    for start, end in _tags(page, HTML_TAG):
+        if found := LANG.search(page, start, end):
+            return found[1].lower()
+    for start, end in _tags(page, META_TAG):
+        named = CONTENT_LANGUAGE.search(page, start, end)
+        if named and (found := CONTENT.search(page, named.end(), end)):
+            return found[1].lower()
+    return None
 
 
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
-    """(host, domain, suffix) of a URL; the domain is the last two labels. None for what is not an address."""
+    """(host, domain, suffix) of a URL. None for what is not an address.
+
+    The domain is the name that was given out: the last two labels, or three if the last but one is a level below a
+    country's suffix.
+    """
     try:
         host = (urlsplit(url or "").hostname or "").rstrip(".")
     except ValueError:
@@ -63,7 +118,8 @@ def address(url: str | None) -> tuple[str | None, str | None, str | None]:
     if not host:
         return None, None, None
     labels = host.split(".")
-    return host, ".".join(labels[-2:]), labels[-1]
+    given = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVEL else 2
+    return host, ".".join(labels[-given:]), labels[-1]
 
 
 def runs(text: str) -> np.ndarray:
