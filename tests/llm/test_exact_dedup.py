@@ -61,3 +61,22 @@ def test_query_equals_sql(spark):
     got = oracle.rows_of_spark(queries.op7_exact_dedup(spark, folder))
     want = oracle.rows_of_duckdb(oracle.connect(folder), queries.SQL["op7_exact_dedup"])
     assert oracle.difference(got, want) is None
+
+
+def test_groups_too_many_to_be_sent(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FEW_GROUPS", 1)
+    for table in (cases.edge, cases.documents):
+        check(table(spark))
+    check(spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'Copy' ELSE concat('text ', id DIV 2) END AS text"))
+
+
+def test_rows_that_repeat_id_and_text(spark):
+    docs = spark.range(3000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS doc_id", "CASE WHEN id % 2 = 0 THEN 'Same' ELSE concat('text ', id) END AS text")
+    check(docs)
+    check(docs.selectExpr("CASE WHEN doc_id = 7 THEN NULL ELSE doc_id END AS doc_id", "text"))
+
+
+def test_no_text_of_a_single_row_is_moved(spark):
+    docs = cases.documents(spark)
+    plan = exact_dedup.mark_copies(docs).select("row.doc_id", "keep_id", "kept")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
