@@ -123,3 +123,85 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in near_dedup.components(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
     assert {got.get(i, i) for i in range(41)} == {0} and {got.get(i, i) for i in range(100, 160)} == {100}
+
+
+@pytest.fixture
+def compared_pairs(monkeypatch):
+    """The numbers of pairs whose sets are compared, call by call."""
+    counts, real = [], near_dedup.confirmed
+
+    def counted(pairs, sets, percent):
+        counts.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "confirmed", counted)
+    return counts
+
+
+def templated(n, shared=332, own=68, words=lambda k: "q"):
+    """Texts alike in `shared` of their shingles; with 332 and 68 any two are 71 per cent alike."""
+    base = " ".join(f"t{i}" for i in range(shared + 4))
+    return [(k, base + " " + " ".join(f"{words(k)}{k}x{i}" for i in range(own)), "en", "s", 1) for k in range(n)]
+
+
+def test_templated_texts_cost_a_few_pairs_each(spark, compared_pairs):
+    found = {}
+    for n in (400, 1500):
+        compared_pairs.clear()
+        docs = spark.createDataFrame(templated(n), cases.SCHEMA)
+        got = near_dedup.mark_near_copies(docs).collect()
+        assert all(row.component_id == row.doc_id for row in got)
+        found[n] = sum(compared_pairs)
+    assert found[400] < 40 * 400 and found[1500] < 40 * 1500, found
+
+
+def test_links_in_crowded_buckets_are_all_found(spark, compared_pairs):
+    """Brute force: pairs of 75 to 90 per cent among texts that are all about 70 per cent alike by one template."""
+    numbers = np.random.default_rng(9)
+    rows = templated(300)
+    for k in range(0, 120, 2):
+        words = rows[k][1].split()
+        changed = list(words)
+        for i in numbers.choice(np.arange(336, len(words)), int(numbers.integers(2, 25)), replace=False):
+            changed[i] = f"c{k}y{i}"
+        rows[k + 1] = (k + 1, " ".join(changed[: len(changed) - int(numbers.integers(0, 9))]), "en", "s", 1)
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    got = near_dedup.mark_near_copies(docs)
+    check(docs, got)
+    assert 20 < sum(not row.kept for row in got.collect()) <= 60
+
+
+def test_texts_made_of_frequent_blocks_are_all_compared(spark):
+    """No text has a shingle of its own, so their rarest elements are in many sets."""
+    numbers = np.random.default_rng(4)
+    blocks = [" ".join(f"b{i}w{j}" for j in range(40)) for i in range(14)]
+    rows = [(k, " ".join(blocks[i] for i in sorted(numbers.choice(14, 10, replace=False))), "en", "s", 1) for k in range(250)]
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    check(docs, near_dedup.mark_near_copies(docs))
+
+
+def test_the_rarest_elements_of_links_meet(spark):
+    """Every pair at or above the limit shares an element of the prefixes that are joined, whatever the sizes."""
+    numbers = np.random.default_rng(12)
+    sets = {}
+    for k in range(160):
+        base = numbers.choice(60, int(numbers.integers(1, 40)), replace=False) if k % 2 == 0 else sets[k - 1]
+        drop = numbers.random(len(base)) < 0.08
+        sets[k] = np.unique(np.concatenate([np.array(base)[~drop], numbers.choice(60, int(numbers.integers(0, 4)))])).astype(np.int64)
+    rows = [(k, [int(x) for x in own], []) for k, own in sets.items() if len(own)]
+    frame = spark.createDataFrame(rows, "node LONG, elements ARRAY<LONG>, sketch ARRAY<LONG>")
+    first = near_dedup.rarest_elements(frame, 75).collect()
+    probed, listed = defaultdict(dict), defaultdict(dict)
+    for row in first:
+        probed[row.node][row.element] = row.place
+        if row.listed:
+            listed[row.node][row.element] = row.place
+    links = 0
+    for a, left, _ in rows:
+        for b, right, _ in rows:
+            n, m, both = len(left), len(right), len({*left} & {*right})
+            if (m, b) < (n, a) and 100 * both >= 75 * (n + m - both):
+                links += 1
+                common = probed[a].keys() & listed[b].keys()
+                assert any(175 * min(n - probed[a][e], m - listed[b][e]) >= 75 * (n + m) for e in common), (a, b)
+    assert links > 30

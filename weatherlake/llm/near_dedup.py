@@ -21,6 +21,8 @@ SIMILAR_PERCENT = 75
 SEED = 20240901
 # A bucket of no more nodes is compared in full.
 SMALL = 16
+# An element that more sets than this list among their rarest says little about who is similar.
+LONG_LIST = 64
 # Elements of the sets that are compared with each other at once.
 BLOCK = 1 << 16
 # Values of a document that are hashed at once under all permutations.
@@ -211,7 +213,24 @@ def open_rows(active: DataFrame) -> DataFrame:
     return stored(active.join(several, "bucket"), "active")
 
 
-def compared(active: DataFrame, leads: Column, sets: DataFrame, percent: int) -> DataFrame:
+class Tried:
+    """The pairs whose sets have been compared, so that no pair is compared twice."""
+
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent = sets, percent
+        self.pairs: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), a > b, those not tried before whose sets are similar."""
+        new = pairs.distinct()
+        if self.pairs is not None:
+            new = new.join(self.pairs, ["a", "b"], "left_anti")
+        new = stored(new, "pairs")
+        self.pairs = new if self.pairs is None else self.pairs.unionByName(new)
+        return stored(confirmed(new, self.sets, self.percent), "links")
+
+
+def compared(active: DataFrame, leads: Column, tried: Tried) -> DataFrame:
     """Confirmed links of the nodes of each bucket with those that lead it, where the components differ."""
     marked = active.withColumn("leads", leads)
     leaders = marked.where("leads").select(
@@ -224,12 +243,45 @@ def compared(active: DataFrame, leads: Column, sets: DataFrame, percent: int) ->
     # Sets whose sizes differ more cannot be similar enough; two leaders are compared once.
     near = (
         (F.col("component") != F.col("c_b"))
-        & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+        & (100 * F.least("n", "n_b") >= tried.percent * F.greatest("n", "n_b"))
         & (~F.col("leads") | (F.col("node") < F.col("b")))
-        & sketches_agree("sketch", "sketch_b", percent)
+        & sketches_agree("sketch", "sketch_b", tried.percent)
     )
     pairs = marked.join(leaders, "bucket").where(near).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-    return stored(confirmed(stored(pairs.distinct(), "pairs"), sets, percent), "links")
+    return tried.links(pairs)
+
+
+def rarest_elements(sets: DataFrame, percent: int) -> DataFrame:
+    """node, n, element, place, listed: the rarest elements of each set, as far as they can decide.
+
+    All sets are put in one order, by how many sets have an element. Of two sets that share `percent` of their union, the first
+    shared element is among the first (100 - percent) % of the larger one and the first n - 2 percent n / (100 + percent) of
+    the smaller one, which lists those. Elements of one set alone come first and are only counted.
+    """
+    elements = stored(sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("element")), "elements")
+    often = elements.groupBy("element").agg(F.count("*").alias("times")).where("times > 1")
+    shared = elements.join(often, "element").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    probed = F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int")
+    listed = F.expr(f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1").cast("int")
+    first = shared.select("node", "n", alone.alias("alone"), listed.alias("upto"), F.slice("shared", F.lit(1), F.greatest(probed - alone, F.lit(0))).alias("shared"))
+    rows = first.select("node", "n", "alone", "upto", F.posexplode("shared").alias("k", "one"))
+    place = (F.col("alone") + F.col("k")).alias("place")
+    return rows.select("node", "n", F.col("one.element").alias("element"), place, (F.col("alone") + F.col("k") < F.col("upto")).alias("listed"))
+
+
+def pairs_by_elements(first: DataFrame, components_of: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components whose first shared element allows enough others after it, from `rarest_elements`."""
+    listed = first.where("listed").select("element", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
+    rest = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))  # with the shared element
+    enough = (100 + percent) * rest >= percent * (F.col("n") + F.col("n_b"))
+    larger = (F.col("n_b") < F.col("n")) | ((F.col("n_b") == F.col("n")) & (F.col("b") < F.col("node")))
+    met = first.join(listed, "element").where(larger & (100 * F.col("n_b") >= percent * F.col("n")) & enough)
+    pairs = met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    for name in ("a", "b"):
+        own = components_of.join(sketches, "node").select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+        pairs = pairs.join(own, name)
+    return pairs.where((F.col("c_a") != F.col("c_b")) & sketches_agree("sketch_a", "sketch_b", percent)).select("a", "b")
 
 
 def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
@@ -325,8 +377,10 @@ def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text
     in one component is done. Of the others the small ones are compared in full. The nodes of large ones, which are half
     alike by what many documents have in common, meet again in bands so long that half-alike sets hardly
     share any. Where such a bucket has nodes of a large component, the nodes of other components in it are compared with
-    that component as a whole; those of small components are compared with each other, with ever more of them
-    until each bucket is in one component or wholly compared.
+    that component as a whole. Those of small components are compared if they share one of their rarest elements, which
+    the templates that many documents have in common are not. Only sets that are made of frequent elements alone are
+    left: their buckets are compared with ever more of their nodes until each is in one component or wholly compared. No
+    pair is compared twice but with a component as a whole.
     """
     rows = band_rows(nodes)
     candidates = stored(rows.select("node").distinct(), "candidates")
@@ -334,14 +388,15 @@ def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text
         return None
     sets = stored(shingle_sets(docs, candidates, id_column, text_column), "sets")
     sketches = sets.select("node", "sketch")
+    tried = Tried(sets, percent)
     rows = stored(rows.join(sketches, "node"), "with-sketches")
     is_first, is_small = F.col("node") == F.col("first"), F.col("held") <= SMALL
 
     active = open_rows(with_components(rows, None))
-    roots = merged(None, compared(active, is_first, sets, percent))
+    roots = merged(None, compared(active, is_first, tried))
     active = open_rows(with_components(rows, roots))
     crowd = stored(active.where(~is_small).select("node").distinct(), "crowd")
-    roots = merged(roots, compared(active.where(is_small), F.lit(True), sets, percent))
+    roots = merged(roots, compared(active.where(is_small), F.lit(True), tried))
     if crowd.isEmpty():
         return roots
 
@@ -360,6 +415,19 @@ def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text
     roots = merged(roots, links_to_groups(outsiders, members, own_sets, percent))
 
     rows = active.where(~F.col("is_large")).select("bucket", "node", "n", "sketch")
+    left = stored(open_rows(with_components(rows, roots)).select("node").distinct(), "left-over")
+    if left.isEmpty():
+        return roots
+    first = stored(rarest_elements(own_sets.join(left, "node", "left_semi"), percent), "rarest")
+    lists = first.where("listed").groupBy("element").agg(F.count("*").alias("lists"))
+    long = stored(lists.where(F.col("lists") > LONG_LIST).select("element"), "long-lists")
+    own = stored(with_components(left, roots), "left-over-components")
+    pairs = pairs_by_elements(first.join(long, "element", "left_anti"), own, sketches, percent)
+    roots = merged(roots, tried.links(pairs))
+
+    # Only sets that have an element of a long list among their rarest can have links that are not found yet.
+    late = stored(first.join(long, "element", "left_semi").select("node").distinct(), "in-long-lists")
+    rows = stored(rows.join(late, "node", "left_semi"), "in-long-lists")
     done = None
     for round_ in itertools.count():
         active = with_components(rows, roots)
@@ -371,7 +439,7 @@ def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text
         # A small bucket is compared in full. In others each round has more leaders, which then have met all the rest.
         chosen = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("held")) < min(4**round_ - 1, 1 << 62)
         leads = is_first | is_small | chosen
-        roots = merged(roots, compared(active, leads, sets, percent))
+        roots = merged(roots, compared(active, leads, tried))
         led = active.where(leads).select("bucket", "node")
         done = stored(led if done is None else done.unionByName(led), "done")
 
