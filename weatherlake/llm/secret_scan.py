@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from weatherlake.llm.common import hot_keys, stored
 
-# Unseen blobs up to this number are sent to all executors (32 bytes each), so that no seen text is shuffled.
-FEW_BLOBS = 500_000
+# Unseen blobs up to this number are sent to all executors (32 bytes each), so that no seen text is looked at again.
+FEW_BLOBS = 10_000
 
 
 @dataclass(frozen=True)
@@ -145,17 +145,20 @@ def scan_new(docs: DataFrame, blobs: DataFrame, ledger: Ledger, rules: Sequence[
     """Scans the blobs of `docs` that the ledger lacks, adds them to it, and returns how many there were.
 
     `blobs` has the different blobs of the table. A text that is scanned is moved once, after the copies in a task
-    have become one; texts without a sign of any rule are not moved.
+    have become one. If few blobs are new, their texts are picked out first; else texts without a sign of any rule
+    are left out before any is moved.
     """
     new = stored(unseen(blobs, ledger, rules), "unseen-blobs")
     count = new.count()
     if not count:
         return 0
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    texts = docs.select(text.alias("text")).where(F.col("text").rlike("|".join(f"(?:{rule.sign})" for rule in rules)))
-    texts = texts.withColumn("blob", blob_of(F.col("text")))
+    texts = docs.select(text.alias("text"))
     if count <= FEW_BLOBS:
-        texts = texts.join(F.broadcast(new.select("blob")), "blob", "left_semi")
+        texts = texts.withColumn("blob", blob_of(F.col("text"))).join(F.broadcast(new.select("blob")), "blob", "left_semi")
+    else:
+        signs = "|".join(f"(?:{rule.sign})" for rule in rules)
+        texts = texts.where(F.col("text").rlike(signs)).withColumn("blob", blob_of(F.col("text")))
     once = texts.groupBy("blob").agg(F.max("text").alias("text"))
     ledger.add(new, _scan(once.join(new, "blob"), rules))
     return count
