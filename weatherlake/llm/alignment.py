@@ -25,7 +25,7 @@ from weatherlake.llm import token_files
 from weatherlake.llm.common import stored
 
 # Bytes of text that are aligned at once, and links of them that are expanded at once.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 LINKS_AT_ONCE = 2_000_000
 # A pair with more than this fraction of all pair occurrences is frequent, so fewer than FREQUENT pairs are.
 FREQUENT = 400_000
