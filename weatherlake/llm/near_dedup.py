@@ -183,10 +183,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Edges point from the larger node a to the smaller node b.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a")), "least")
+        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
         large = edges.select(F.col("b").alias("a"), F.col("a").alias("larger")).join(least, "a")
         grown = stored(large.select(F.col("larger").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large-star")
-        least = stored(grown.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least")
+        least = grown.groupBy("a").agg(F.min("b").alias("m"))
         inner = grown.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = stored(inner.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
         # A forest of stars: every node that has a smaller one has exactly one, and that has none.
@@ -209,7 +209,7 @@ def open_rows(active: DataFrame) -> DataFrame:
     stats = active.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("first"), F.count("*").alias("held")
     )
-    several = stored(stats.where("low <> high").select("bucket", "first", "held"), "open")
+    several = stats.where("low <> high").select("bucket", "first", "held")
     return stored(active.join(several, "bucket"), "active")
 
 
@@ -258,7 +258,7 @@ def rarest_elements(sets: DataFrame, percent: int) -> DataFrame:
     shared element is among the first (100 - percent) % of the larger one and the first n - 2 percent n / (100 + percent) of
     the smaller one, which lists those. Elements of one set alone come first and are only counted.
     """
-    elements = stored(sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("element")), "elements")
+    elements = sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("element"))
     often = elements.groupBy("element").agg(F.count("*").alias("times")).where("times > 1")
     shared = elements.join(often, "element").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("shared"))
     alone = F.col("n") - F.size("shared")
@@ -296,8 +296,7 @@ def band_rows(nodes: DataFrame) -> DataFrame:
     """bucket, node, n for the bands that two nodes or more agree in, from node, n and bands."""
     placed = stored(nodes.select("node", "n", F.explode("bands").alias("bucket")), "bands")
     shared = placed.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    shared = stored(shared.where("first <> last").select("bucket"), "shared-bands")
-    return stored(placed.join(shared, "bucket"), "in-shared-bands")
+    return stored(placed.join(shared.where("first <> last").select("bucket"), "bucket"), "in-shared-bands")
 
 
 def signed_again(sets: DataFrame, shape: Bands) -> DataFrame:
@@ -352,7 +351,7 @@ def links_to_groups(outsiders: DataFrame, members: DataFrame, sets: DataFrame, p
     for rows, is_outside in ((members, False), (outsiders, True)):
         whole = stored(rows.join(sets.select("node", "elements"), "node"), "group-sets")
         parts = whole.groupBy("component").agg(F.ceil(F.sum(F.size("elements")) / BLOCK).cast("int").alias("parts"))
-        sides.append((whole, stored(parts, "group-parts"), is_outside))
+        sides.append((whole, parts, is_outside))
     dealt = []
     for (whole, own, is_outside), (_, other, _) in zip(sides, reversed(sides)):
         both = whole.join(own, "component").join(other.withColumnRenamed("parts", "others"), "component")
@@ -395,39 +394,39 @@ def linked(nodes: DataFrame, docs: DataFrame, percent: int, id_column: str, text
     active = open_rows(with_components(rows, None))
     roots = merged(None, compared(active, is_first, tried))
     active = open_rows(with_components(rows, roots))
-    crowd = stored(active.where(~is_small).select("node").distinct(), "crowd")
-    roots = merged(roots, compared(active.where(is_small), F.lit(True), tried))
+    # Components are as the first links made them until all further links are found.
+    crowd = stored(active.where(~is_small).select("node", "component").distinct(), "crowd")
+    links = compared(active.where(is_small), F.lit(True), tried)
     if crowd.isEmpty():
-        return roots
+        return merged(roots, links)
 
     own_sets = stored(sets.join(crowd, "node", "left_semi"), "crowd-sets")
     rows = stored(band_rows(signed_again(own_sets, LONG_BANDS)).join(sketches, "node"), "with-sketches")
-    crowd = stored(with_components(crowd, roots), "crowd-components")
     large = crowd.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") > SMALL)
-    large = stored(large.select("component", F.lit(True).alias("is_large")), "large")
+    large = large.select("component", F.lit(True).alias("is_large"))
     active = with_components(rows, roots).join(large, "component", "left")
-    active = stored(open_rows(active).withColumn("is_large", F.coalesce("is_large", F.lit(False))), "by-size")
+    active = open_rows(active.withColumn("is_large", F.coalesce("is_large", F.lit(False))))
     groups = active.where("is_large").select("bucket", F.col("component").alias("group")).distinct()
     # Of two large components the nodes of one are compared with the other.
     apart = (F.col("component") != F.col("group")) & (~F.col("is_large") | (F.col("component") > F.col("group")))
     outsiders = active.join(groups, "bucket").where(apart).select(F.col("group").alias("component"), "node").distinct()
     members = crowd.join(large, "component", "left_semi").select("component", "node")
-    roots = merged(roots, links_to_groups(outsiders, members, own_sets, percent))
+    links = links.unionByName(links_to_groups(outsiders, members, own_sets, percent))
 
-    rows = active.where(~F.col("is_large")).select("bucket", "node", "n", "sketch")
-    left = stored(open_rows(with_components(rows, roots)).select("node").distinct(), "left-over")
-    if left.isEmpty():
-        return roots
+    others = active.where(~F.col("is_large")).select("bucket", "node", "n", "sketch", "component")
+    rows = open_rows(others).select(*others.columns)
+    left = stored(rows.select("node", "component").distinct(), "left-over")
     first = stored(rarest_elements(own_sets.join(left, "node", "left_semi"), percent), "rarest")
     lists = first.where("listed").groupBy("element").agg(F.count("*").alias("lists"))
     long = stored(lists.where(F.col("lists") > LONG_LIST).select("element"), "long-lists")
-    own = stored(with_components(left, roots), "left-over-components")
-    pairs = pairs_by_elements(first.join(long, "element", "left_anti"), own, sketches, percent)
-    roots = merged(roots, tried.links(pairs))
+    pairs = pairs_by_elements(first.join(long, "element", "left_anti"), left, sketches, percent)
+    roots = merged(roots, links.unionByName(tried.links(pairs)))
+    if long.isEmpty():
+        return roots
 
     # Only sets that have an element of a long list among their rarest can have links that are not found yet.
-    late = stored(first.join(long, "element", "left_semi").select("node").distinct(), "in-long-lists")
-    rows = stored(rows.join(late, "node", "left_semi"), "in-long-lists")
+    late = first.join(long, "element", "left_semi").select("node").distinct()
+    rows = stored(rows.join(late, "node", "left_semi").drop("component"), "in-long-lists")
     done = None
     for round_ in itertools.count():
         active = with_components(rows, roots)
