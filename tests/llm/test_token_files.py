@@ -14,7 +14,6 @@ from weatherlake.session import scratch_path
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(tokenizer_path(BYTE_TOKENIZER))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -49,8 +48,12 @@ def test_empty_table(spark):
     assert token_files.token_files(spark, cases.empty(spark), tokenizer_path(BYTE_TOKENIZER)).count() == 0
 
 
-def test_segments_change_nothing(library):
-    own = token_files.id_encoder(tokenizer_path(BYTE_TOKENIZER))
+@pytest.mark.parametrize("as_text", [False, True])
+def test_segments_change_nothing(as_text):
+    own = token_files.IdEncoder(tokenizer_path(BYTE_TOKENIZER), as_text)
+    tokenizer = Tokenizer.from_file(tokenizer_path(BYTE_TOKENIZER))
+    tokenizer.encode_special_tokens = as_text
+    library = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     rng = random.Random(5)
     parts = ["a", "b", "'s", " ", "  ", "\n", "\n\n", "é", "中", "😀", "\x00", "\t", "the", "1", " " * 9, "　", "<|endoftext|>", "﻿", "\x1c", "\x85", "\xa0", "?!", "\r"]
     for _ in range(4000):
@@ -129,3 +132,13 @@ def test_rows_that_share_an_id_or_have_none_are_split(spark, library):
         check(docs, token_files.read_token_files(manifest, folder), library)
     finally:
         spark.conf.unset(setting)
+
+
+def test_rarely_met_segments_are_forgotten(library, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 40)
+    own = token_files.IdEncoder(tokenizer_path(BYTE_TOKENIZER))
+    rng = random.Random(8)
+    for _ in range(60):
+        texts = [" ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(30)) for _ in range(3)]
+        assert own.encode(texts) == [np.array(library(text), "<u4").tobytes() for text in texts]
+    assert len(own.known) == len(own.known_ids) == len(own.uses)
