@@ -351,7 +351,8 @@ def links_to_groups(outsiders: DataFrame, members: DataFrame, sets: DataFrame, p
     for rows, is_outside in ((members, False), (outsiders, True)):
         whole = stored(rows.join(sets.select("node", "elements"), "node"), "group-sets")
         parts = whole.groupBy("component").agg(F.ceil(F.sum(F.size("elements")) / BLOCK).cast("int").alias("parts"))
-        sides.append((whole, parts, is_outside))
+        # Stored, so that Spark knows its size and sends it to the rows rather than a large component to one task.
+        sides.append((whole, stored(parts, "group-parts"), is_outside))
     dealt = []
     for (whole, own, is_outside), (_, other, _) in zip(sides, reversed(sides)):
         both = whole.join(own, "component").join(other.withColumnRenamed("parts", "others"), "component")
