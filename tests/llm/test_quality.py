@@ -48,6 +48,13 @@ def test_repeats_that_overlap_and_touch(spark):
     assert [got[i]["n_repeat_words"] for i in range(4)] == [brute(t)["n_repeat_words"] for t in texts] == [10, 7, 12, 9]
 
 
+def test_windows_of_one_hash_are_compared(spark, monkeypatch):
+    docs = spark.createDataFrame([(0, "a b c d e f g h i j", "en", "s", 1), (1, "a b c d e x a b c d e y", "en", "s", 1)], cases.SCHEMA)
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: quality.F.lit(7).cast("long"))
+    got = cases.by_id(quality.score(docs))
+    assert [got[i]["n_repeat_words"] for i in range(2)] == [0, 10]
+
+
 def test_empty_table(spark):
     assert quality.score(cases.empty(spark)).count() == 0
     assert quality.keep_good(cases.empty(spark)).columns == cases.empty(spark).columns
@@ -107,3 +114,17 @@ def test_wrong_language_and_no_common_words_are_far_by_words_alone(spark):
     got = cases.by_id(quality.score(docs.unionByName(more)))
     assert all(not got[i]["base_failed"] and got[i]["class_distance"] <= quality.MAX_CLASS_DISTANCE for i in (-1, -2, -3))
     assert [got[i]["kept"] for i in (-1, -2, -3)] == [False, False, True]
+
+
+def test_word_limit_follows_the_language(spark):
+    def text(seed, n, common):
+        made = lambda k: "".join(chr(97 + k // 26**digit % 26) for digit in range(5))
+        return " ".join("the" if common and i % 12 == 0 else made(1009 * seed + 31 * i) for i in range(n))
+
+    # Common words are a twelfth of this language's words: 240 words should have 20, 120 words 10.
+    good = [(i, text(i, 240, True), "en", "s", 1) for i in range(60)]
+    docs = spark.createDataFrame([*good, (100, text(100, 240, False), "en", "s", 1), (101, text(101, 120, False), "en", "s", 1)], cases.SCHEMA)
+    got = cases.by_id(quality.score(docs))
+    assert all(got[i]["kept"] for i in range(60))
+    assert not got[100]["kept"] and got[100]["word_distance"] < 0.3 and not got[100]["base_failed"]
+    assert got[101]["kept"] and got[101]["word_distance"] is None

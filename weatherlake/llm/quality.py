@@ -35,8 +35,10 @@ MIN_CLASS_CHARS = 200
 MIN_HISTOGRAM_WORDS = 60
 MIN_REFERENCE_DOCS = 20
 MAX_CLASS_DISTANCE = 0.33
-# A text without common words is at 0.378 or more from its language's reference, where they are a quarter of all words.
-MAX_WORD_DISTANCE = 0.30
+# A language's limit of the word distance, as a share of the distance that a text without common words has.
+MAX_WORD_SHARE = 0.8
+# Texts that should have fewer common words by the language's reference are not judged by them: so few scatter too much.
+MIN_EXPECTED_COMMON = 15
 
 
 def _left(text: Column, pattern: str) -> Column:
@@ -55,7 +57,7 @@ def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
     col = F.col(text)
     lines = F.filter(F.split(col, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns({"_words": words(col), "_lines": lines})
-    # Hash of each window of five words; windows of one text are equal if their hashes are.
+    # Hash of each window of five words.
     df = df.withColumn(
         "_hashes",
         F.when(
@@ -63,15 +65,17 @@ def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
             F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW))),
         ),
     )
-    # Texts without a repeated window, nearly all, stop here. In the others equal windows meet by sorting.
+    # Texts without two windows of one hash, nearly all, stop here. In the others equal windows meet by sorting, and
+    # windows of one hash are compared word by word.
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    numbered = F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    numbered = F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), F.slice("_words", i + 1, WINDOW).alias("w"), i.alias("i")))
     df = df.withColumn("_sorted", F.when(repeats, F.sort_array(numbered)))
-    neighbour = lambda k: F.get("_sorted", k)["h"]
-    again = F.filter(
-        "_sorted",
-        lambda s, k: F.coalesce(neighbour(k - 1) == s["h"], F.lit(False)) | F.coalesce(neighbour(k + 1) == s["h"], F.lit(False)),
-    )
+
+    def same(s: Column, k: Column) -> Column:
+        other = F.get("_sorted", k)
+        return F.coalesce((other["h"] == s["h"]) & (other["w"] == s["w"]), F.lit(False))
+
+    again = F.filter("_sorted", lambda s, k: same(s, k - 1) | same(s, k + 1))
     df = df.withColumn("_starts", F.sort_array(F.transform(again, lambda s: s["i"])))
     # A window covers five words, or as many as lie before the next one.
     steps = F.transform("_starts", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_starts", k + 1) - p, F.lit(WINDOW))))
@@ -120,16 +124,26 @@ def _with_rest(counts: str, whole: Column) -> Column:
 
 
 def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
-    """The summed histograms of each language (null is one), with its number of documents; names begin with r_."""
+    """The summed histograms of each language (null is one), with its number of documents; names begin with r_.
+
+    They give the language's share of common words and the limit of its word distance.
+    """
 
     def summed(counts: str, bins: int) -> Column:
         return F.array(*[F.sum(F.get(counts, F.lit(i))) for i in range(bins)])
 
-    return counted.groupBy(F.col(lang).alias("r_lang")).agg(
+    known = counted.groupBy(F.col(lang).alias("r_lang")).agg(
         F.count("*").alias("r_docs"),
         summed("class_counts", len(CLASSES)).alias("r_class_counts"),
         summed("word_counts", N_COMMON + 1).alias("r_word_counts"),
     )
+    without = F.array(*[F.lit(0)] * N_COMMON, F.lit(1))
+    known = known.withColumns({"_without": without, "_one": F.lit(1), "_sum": _total("r_word_counts")})
+    farthest = jensen_shannon("_without", "_one", "r_word_counts", "_sum")
+    return known.withColumns({
+        "r_common_share": 1 - F.get("r_word_counts", F.lit(N_COMMON)) / F.nullif(F.col("_sum"), F.lit(0)),
+        "r_word_limit": F.round(MAX_WORD_SHARE * farthest, 6),
+    }).drop("_without", "_one", "_sum")
 
 
 def jensen_shannon(left: str, n: str, right: str, m: str) -> Column:
@@ -157,14 +171,15 @@ def verdict(df: DataFrame) -> DataFrame:
     by_class = jensen_shannon("class_counts", "class_counts_sum", "r_class_counts", "r_class_counts_sum")
     by_word = jensen_shannon("word_counts", "word_counts_sum", "r_word_counts", "r_word_counts_sum")
     by_class = F.when(known & (F.col("class_counts_sum") >= MIN_CLASS_CHARS), by_class)
-    by_word = F.when(known & (F.col("word_counts_sum") >= MIN_HISTOGRAM_WORDS), by_word)
+    enough = (F.col("word_counts_sum") >= MIN_HISTOGRAM_WORDS) & (F.col("word_counts_sum") * F.col("r_common_share") >= MIN_EXPECTED_COMMON)
+    by_word = F.when(known & enough, by_word)
     df = df.withColumns({
         "base_failed": base_failed,
         "class_distance": F.round(by_class, 6),
         "word_distance": F.round(by_word, 6),
     })
     far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)
+        F.col("word_distance") > F.col("r_word_limit"), F.lit(False)
     )
     # One sum, not a conjunction: a filter by it stays above the join. Its part on the base counts would else be moved
     # below them, where it repeats their whole computation.

@@ -76,7 +76,7 @@ WITH texts AS (
 ), measured AS (
   SELECT *, coalesce(n_repeat_words, 0)::BIGINT AS repeat_words, coalesce(n_dup_lines, 0) AS dup_lines,
          list_sum(class_counts) AS n_class_counts, list_sum(word_counts) AS n_word_counts,
-         list_sum(r_class) AS n_r_class, list_sum(r_word) AS n_r_word
+         list_sum(r_class) AS n_r_class, list_sum(r_word) AS n_r_word, [{"0, " * quality.N_COMMON}1] AS bare, 1 AS n_bare
   FROM counted LEFT JOIN languages ON lang IS NOT DISTINCT FROM r_lang LEFT JOIN repeats USING (doc_id) LEFT JOIN lines USING (doc_id)
 ), judged AS (
   SELECT doc_id, n_words, word_chars, n_symbols, dup_lines AS n_dup_lines, repeat_words AS n_repeat_words,
@@ -84,11 +84,13 @@ WITH texts AS (
          CASE WHEN r_docs >= {quality.MIN_REFERENCE_DOCS} AND n_class_counts >= {quality.MIN_CLASS_CHARS}
               THEN round({_distance("class_counts", "r_class")}, 6) END AS class_distance,
          CASE WHEN r_docs >= {quality.MIN_REFERENCE_DOCS} AND n_word_counts >= {quality.MIN_HISTOGRAM_WORDS}
-              THEN round({_distance("word_counts", "r_word")}, 6) END AS word_distance
+                   AND n_word_counts * (1 - r_word[{quality.N_COMMON + 1}] / n_r_word) >= {quality.MIN_EXPECTED_COMMON}
+              THEN round({_distance("word_counts", "r_word")}, 6) END AS word_distance,
+         round({quality.MAX_WORD_SHARE} * {_distance("bare", "r_word")}, 6) AS word_limit
   FROM measured
 )
-SELECT *, NOT base_failed AND NOT (coalesce(class_distance > {quality.MAX_CLASS_DISTANCE}, false)
-       OR coalesce(word_distance > {quality.MAX_WORD_DISTANCE}, false)) AS kept
+SELECT * EXCLUDE (word_limit), NOT base_failed AND NOT (coalesce(class_distance > {quality.MAX_CLASS_DISTANCE}, false)
+       OR coalesce(word_distance > word_limit, false)) AS kept
 FROM judged
 """
 
