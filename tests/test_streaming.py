@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from weatherlake.operators.lookup import WORLD_CITIES, city_frame, city_lookup
+from weatherlake.plans import streams
 from weatherlake.sources.messages import statistics_message, weather_messages
 from weatherlake.streaming import connect, weather
 
@@ -112,3 +113,21 @@ def test_two_batches_equal_one(spark, tmp_path):
         connect.stream_to_parquet(stream, out, f"{out}-checkpoint").awaitTermination()
         results.append(sorted(map(str, spark.read.parquet(out).collect())))
     assert results[0] == results[1] and len(results[0]) == 30
+
+
+def test_micro_batches_are_cut_by_bytes_not_by_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "in")
+    payload = spark.createDataFrame(rows(0, 24), SCHEMA).repartition(12)
+    messages = payload.select(F.col("city").alias("key"), F.to_json(F.struct("city", "temperature")).alias("value"))
+    connect.write_messages(messages, connect.Channel(path=path, options={"maxRecordsPerFile": "1"}))
+
+    def batches(name):
+        out = str(tmp_path / name)
+        run = connect.stream_to_parquet(streams.open_stream(spark, path), out, f"{out}-checkpoint")
+        run.awaitTermination()
+        assert spark.read.parquet(out).count() == 24
+        return sum(progress["numInputRows"] > 0 for progress in run.recentProgress)
+
+    assert batches("one") == 1
+    monkeypatch.setattr(streams, "BATCH_BYTES", "600")
+    assert batches("many") > 1

@@ -18,9 +18,11 @@ from weatherlake.sources.messages import decode, weather_messages
 from weatherlake.streaming import connect, groups, weather, windows
 
 
-# Messages a file, so that micro-batches have a bound.
-FILE_MESSAGES = "10000"
-BATCH_FILES = "4"
+# Micro-batches have a bound, which all executors share. A micro-batch has a fixed cost whatever it holds, so the bound is as
+# high as tasks of one file each allow.
+FILE_MESSAGES = "100000"
+BATCH_BYTES = str(1 << 30)
+BATCH_FILES = 32
 
 
 def observation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def publish(payload: DataFrame, path: str) -> None:
 
 
 def open_stream(spark: SparkSession, path: str) -> DataFrame:
-    return connect.stream_source(spark, connect.Channel(path=path, options={"maxFilesPerTrigger": BATCH_FILES}))
+    return connect.stream_source(spark, connect.Channel(path=path, options={"maxBytesPerTrigger": BATCH_BYTES}))
 
 
 def publish_observations(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
@@ -143,7 +145,7 @@ def stream_groups(spark, sf_dir):
                 "overwrite"
             ).parquet(f"{path}/out/{group}-{number}")
 
-        groups.drain(spark, channel, group, f"{path}/offsets", save, starting, max_files=int(BATCH_FILES))
+        groups.drain(spark, channel, group, f"{path}/offsets", save, starting, max_files=BATCH_FILES)
 
     for half in halves(observation_messages(spark, sf_dir)):
         publish(half, channel.path)
