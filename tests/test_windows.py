@@ -64,6 +64,22 @@ def test_resumes_with_its_state_and_compacts(spark, tmp_path):
     assert late > 0
 
 
+def test_state_has_partitions_by_its_buckets(spark, tmp_path):
+    source, out, setting = str(tmp_path / "in"), str(tmp_path / "out"), "spark.sql.shuffle.partitions"
+    rows, before = shuffled(20, 7), spark.conf.get(setting)
+    publish(spark, connect.Channel(path=source), rows)
+    spark.conf.set(setting, 50)
+    try:
+        stream = connect.stream_source(spark, connect.Channel(path=source))
+        run = windows.update_windows(stream, out, str(tmp_path / "checkpoint"), buckets=3)
+        run.awaitTermination()
+        assert spark.conf.get(setting) == "50"
+    finally:
+        spark.conf.set(setting, before)
+    assert {state["numShufflePartitions"] for progress in run.recentProgress for state in progress["stateOperators"]} == {6}
+    assert totals(spark, out) == expected(rows)
+
+
 def test_unreadable_stamps_are_counted_under_no_window(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     publish(spark, connect.Channel(path=source), shuffled(5, 1))

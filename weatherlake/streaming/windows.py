@@ -22,6 +22,7 @@ from weatherlake.sources.messages import decode
 from weatherlake.streaming.batches import batch_path, compact_batches, read_batches
 
 BUCKETS = 64
+PARTITIONS = "spark.sql.shuffle.partitions"
 # The window of rows whose stamp is no time; the watermark never passes it.
 NO_TIME = 2**62
 # Sums are carried in two halves, so that no sum of a micro-batch overflows.
@@ -95,7 +96,8 @@ def update_windows(
     """Counts a stream's messages by window, all that is there now, with a folder for each micro-batch.
 
     A window is open until a message is more than `delay` after its end. Closed windows leave the state, so what it holds
-    is bounded by the windows that can be open at a time. `buckets` bounds the tasks that work on one window.
+    is bounded by the windows that can be open at a time. `buckets` bounds the tasks that work on one window. The state has
+    twice as many partitions as buckets, as each costs time in every micro-batch; a checkpoint keeps its number.
     """
     rows = stamped_rows(messages, seconds, buckets).withWatermark("ts", delay)
     folded = rows.groupBy("bucket").applyInPandasWithState(
@@ -117,10 +119,14 @@ def update_windows(
         numbered = batch.withColumn("batch", F.lit(batch_id).cast("long"))
         numbered.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
-    return (
-        shaped.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .foreachBatch(save).trigger(availableNow=True).start()
-    )
+    writer = shaped.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(save)
+    conf = messages.sparkSession.conf
+    before = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, 2 * buckets)
+    try:
+        return writer.trigger(availableNow=True).start()  # with the settings of now
+    finally:
+        conf.set(PARTITIONS, before)
 
 
 def _latest(stored: DataFrame) -> DataFrame:
