@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 # A key counts as hot when it holds more than this fraction of all rows, so fewer than HOT_KEYS keys can be hot.
 HOT_KEYS = 1000
 
+# Rows that a Python task works on at a time, whose working data and result it holds at once.
+PART_ROWS = 1000
+
 
 def ascii_lower(text: Column) -> Column:
     """Text with A-Z lower-cased and every other character as it is."""
@@ -58,3 +64,18 @@ def hot_keys(counts: DataFrame, rows: int, column: str = "n") -> DataFrame:
         .withColumn("parts", F.ceil(F.col(column) / limit).cast("int"))
         .drop(column)
     )
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in batches of up to PART_ROWS, without copying them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
+def release_memory() -> None:
+    """Gives back what earlier tasks of this worker freed; Arrow and the C library keep it for themselves otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

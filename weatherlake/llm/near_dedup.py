@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weatherlake.llm.common import stored
+from weatherlake.llm.common import in_parts, stored
 
 WORDS = 5
 SIMILAR_PERCENT = 75
@@ -113,7 +113,7 @@ def signatures(docs: DataFrame, shape: Bands, id_column: str, text_column: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(shape)
-        for batch in batches:
+        for batch in in_parts(batches):
             sizes, keys, bands = [], [], []
             for text in batch.column(1):
                 elements = shingles(text.as_py())
@@ -136,7 +136,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, id_column: str, text_column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(SKETCH)
-        for batch in batches:
+        for batch in in_parts(batches):
             keys, sets = batch.column(0).to_pylist(), [shingles(text.as_py()) for text in batch.column(1)]
             # A row that only shares a node's id may have no words.
             rows = [(key, own) for key, own in zip(keys, sets) if len(own)]
@@ -304,7 +304,7 @@ def signed_again(sets: DataFrame, shape: Bands) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(shape)
-        for batch in batches:
+        for batch in in_parts(batches):
             elements = [np.array(e.values).view(np.uint64) for e in batch.column(1)]
             yield pa.record_batch({
                 "node": batch.column(0),

@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from weatherlake.llm.cache import Recent
+from weatherlake.llm.common import in_parts, release_memory
 
 BLANK = "▁"
 NORMAL, CONTROL_END, BYTE = 1, "</s>", 6
 # Frequent segments that a worker remembers, and the longest that it does.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST_REMEMBERED = 48
-PAIRS = 400_000
+PAIRS = 200_000
 
 
 class PieceEncoder:
@@ -219,9 +220,10 @@ def encode_documents(
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         own = encoder(model_file)
         names = [str(i) for i in range(own.library.get_piece_size())]
-        for batch in batches:
+        for batch in in_parts(batches):
             rows: list[list] = [[] for _ in fields]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = own.encode(text.as_py() or "")
