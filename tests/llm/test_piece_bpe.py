@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import cases
+import pyarrow as pa
 import pytest
 
 from weatherlake.llm import piece_bpe, queries
@@ -73,3 +74,42 @@ def test_each_prefix_has_its_encodings_last_token(own):
 def test_long_text_without_blanks(own):
     text = "abcdefghij" * 20_000
     assert own.encode(text) == own.library.encode(text)
+
+
+PARTS = ["a", "b", "e", "t", " ", "  ", "\n", "\n\n", "▁", "é", "中", "😀", "\x00", "\t", "the", "in", "ing", "tion", "0", "1", "　", "</s>", "ß", "้", "xq", " " * 17]
+
+
+def test_unseen_segments_are_not_encoded_one_by_one():
+    own = piece_bpe.PieceEncoder(tokenizer_path(PIECE_TOKENIZER))
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(5000)]
+    single, calls = own.last_tokens, []
+    own.last_tokens = lambda text: calls.append(text) or single(text)
+    got = list(own.encode_all(pa.array([*texts, None])))
+    assert got == [*own.library.encode(texts), []]
+    # Long segments only, which are not remembered either.
+    assert all(len(segment) > piece_bpe.LONGEST_REMEMBERED for segment in calls)
+
+
+def test_many_chunks_and_forgotten_segments(own, monkeypatch):
+    monkeypatch.setattr(piece_bpe, "CHUNK_BYTES", 1000)
+    fresh = piece_bpe.PieceEncoder(tokenizer_path(PIECE_TOKENIZER))
+    fresh.remembered.limit = 50
+    fresh.tested = fresh.tested[:1]
+    fresh._slots = lambda pairs: pairs * 0  # all pairs meet in one slot
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(600)]
+    assert list(fresh.encode_all(pa.array(texts))) == own.library.encode(texts)
+
+
+@pytest.mark.parametrize("text", ["\n", "\n\nb", "b\n\n", "  ", " \n ", "▁▁\n▁", "a\nb  c\n\n▁d", "é", "中\n", ""])
+def test_texts_stand_alone(own, text):
+    assert list(own.encode_all(pa.array([text, text, "", text + "x", text]))) == own.library.encode([text, text, "", text + "x", text])
+
+
+def test_side_by_side_equals_one_by_one(own):
+    rng = random.Random(13)
+    characters = [c for c in own.tokens[1 : own.width] if c not in "\n▁"] + ["😀", "\U0010ffff"]
+    words = list({"".join(rng.choice(characters[:200] if rng.random() < 0.9 else characters) for _ in range(rng.randint(1, 48))) for _ in range(3000)})
+    words += [w for w in own.tokens[1:] if "\n" not in w]
+    assert own._encode_side_by_side(words) == [own._encode(w) for w in words]

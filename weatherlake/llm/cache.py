@@ -17,6 +17,17 @@ class Recent(dict):
         self.put(key, value)
         return value
 
+    def find(self, keys: list) -> list:
+        """The value of each key that is remembered, None for the others."""
+        values = list(map(self.get, keys))
+        before = self.before
+        again = {}
+        for i, value in enumerate(values):
+            if value is None and (value := before.get(keys[i])) is not None:
+                values[i] = again[keys[i]] = value
+        self.put_all(again)
+        return values
+
     def put(self, key, value) -> None:
         self._make_room()
         self[key] = value
